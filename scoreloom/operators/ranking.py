@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.functions.numeric import discount_sum, harmonic, ratio
 from scoreloom.plans.ordering import MAX_GROUP_ROWS, place_in_group
+from scoreloom.plans.sizing import broadcast_checked
 from scoreloom.sources.schemas import METRICS
 
 # Cut-offs of the reported metrics.
@@ -93,7 +94,7 @@ def judged_results(
     runs: DataFrame, qrels: DataFrame, max_group_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
     """Ranked rows with position, copies, hits up to and including the row, and judgement."""
-    index = judged_index(qrels)
+    index = broadcast_checked(judged_index(qrels), bound=qrels)
     lists = runs.select(*RUN_KEY, "doc_number", "rank_of_doc")
     judged = lists.join(
         index.withColumnsRenamed({"query_id": "query_number", "doc_id": "doc_number"}),
@@ -102,7 +103,7 @@ def judged_results(
     ).withColumn("hit", F.when(F.col("n_rel").isNotNull(), 1).otherwise(0))
     return place_in_group(
         judged, RUN_KEY, [F.asc("rank_of_doc"), F.asc("doc_number")],
-        running={"hits": "hit"}, collapse=True, max_group_rows=max_group_rows,
+        running={"hits": "hit"}, collapse=True, max_group_rows=max_group_rows, sizes_of=lists,
     )
 
 

@@ -37,16 +37,18 @@ def place_in_group(
     place: str = "pos",
     collapse: bool = False,
     max_group_rows: int = MAX_GROUP_ROWS,
+    sizes_of: DataFrame | None = None,
 ) -> DataFrame:
     """Add the 1-based ``place`` of each row in its group, and running totals.
 
     ``running`` maps a new column to the numeric column whose total up to and
     including the row it holds.  With ``collapse`` the result has a ``copies``
     column, ``place`` is that of the first copy and the totals count each copy.
+    ``sizes_of`` is a table with the same rows per group that is cheaper to count.
     """
     running = dict(running or {})
     group = list(group)
-    hot = _hot_groups(df, group, max_group_rows)
+    hot = _hot_groups(df if sizes_of is None else sizes_of, group, max_group_rows)
     if hot is None:
         return _by_window(df, group, order, running, place, collapse)
 

@@ -1,9 +1,10 @@
 """Inputs of the registered queries, derived from the given tables, in Spark and in SQL.
 
 Runs: line number = system, supplier = query, part = document, dearer first.
-Judgements: larger returned orders; suppliers in debt are left unjudged, so some
-answered queries have no judgement.  Ranks have gaps on purpose: only their
-order counts.
+Every line item is a row; ranks have gaps and documents may repeat, since only
+the order of ranks counts and each occurrence is a result.  Judgements: larger
+returned orders; suppliers in debt are left unjudged, so some answered queries
+have no judgement.
 """
 
 from __future__ import annotations
@@ -17,9 +18,9 @@ RUNS_SQL = """
 runs AS (
   SELECT CAST(l_linenumber AS INT) AS system_number, l_suppkey AS query_number,
          l_partkey AS doc_number,
-         CAST(20000000 - round(max(l_extendedprice) * 100) AS INT) AS rank_of_doc,
-         max(l_extendedprice) AS score
-  FROM lineitem GROUP BY l_linenumber, l_suppkey, l_partkey)
+         CAST(20000000 - round(l_extendedprice * 100) AS INT) AS rank_of_doc,
+         l_extendedprice AS score
+  FROM lineitem)
 """
 
 QRELS_SQL = """
@@ -65,21 +66,12 @@ predictions AS (
 
 
 def runs(spark: SparkSession, folder: str) -> DataFrame:
-    return (
-        table(spark, folder, "lineitem")
-        .groupBy(
-            F.col("l_linenumber").cast("int").alias("system_number"),
-            F.col("l_suppkey").alias("query_number"),
-            F.col("l_partkey").alias("doc_number"),
-        )
-        .agg(F.max("l_extendedprice").alias("score"))
-        .select(
-            "system_number",
-            "query_number",
-            "doc_number",
-            (20_000_000 - F.round(F.col("score") * 100)).cast("int").alias("rank_of_doc"),
-            "score",
-        )
+    return table(spark, folder, "lineitem").select(
+        F.col("l_linenumber").cast("int").alias("system_number"),
+        F.col("l_suppkey").alias("query_number"),
+        F.col("l_partkey").alias("doc_number"),
+        (20_000_000 - F.round(F.col("l_extendedprice") * 100)).cast("int").alias("rank_of_doc"),
+        F.col("l_extendedprice").alias("score"),
     )
 
 
