@@ -5,7 +5,7 @@ from __future__ import annotations
 import string
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The 29 characters Unicode-aware ``\s`` matches, as a regex class body.
@@ -105,21 +105,27 @@ def notebook_tokens(text: Column) -> Column:
     return split_whitespace(lowercase(strip_punctuation(text)))
 
 
-def feature_terms(tokens: Column, max_n: int = 1) -> Column:
-    """Terms of a document: words of two letters or more, then their n-grams up to ``max_n``.
+def _joined_runs(words: str, n: int) -> Column:
+    """Every ``n`` neighbouring words of an array column, joined by spaces."""
+    runs = F.size(words) - (n - 1)
+    return F.when(
+        runs >= 1,
+        F.transform(
+            F.sequence(F.lit(1), F.greatest(F.lit(1), runs)),
+            lambda at: F.array_join(F.slice(words, at, n), " "),
+        ),
+    ).otherwise(F.array().cast("array<string>"))
 
-    Shorter words go first, so an n-gram closes over the gap they leave.
+
+def with_terms(docs: DataFrame, max_n: int = 1, tokens: str = "tokens") -> DataFrame:
+    """Add ``terms``: words of two letters or more, then their n-grams up to ``max_n``.
+
+    Shorter words go first, so an n-gram closes over the gap they leave.  The
+    words are a column of their own, so that they are filtered once per document
+    and not once per n-gram.
     """
-    words = F.filter(tokens, lambda word: F.length(word) >= 2)
-    grams = [words]
+    docs = docs.withColumn("_words", F.filter(tokens, lambda word: F.length(word) >= 2))
+    grams = [F.col("_words")]
     for n in range(2, max_n + 1):
-        grams.append(
-            F.when(
-                F.size(words) >= n,
-                F.transform(
-                    F.sequence(F.lit(1), F.size(words) - (n - 1)),
-                    lambda at: F.array_join(F.slice(words, at, n), " "),
-                ),
-            ).otherwise(F.array().cast("array<string>"))
-        )
-    return F.concat(*grams)
+        grams.append(_joined_runs("_words", n))
+    return docs.withColumn("terms", F.concat(*grams)).drop("_words")

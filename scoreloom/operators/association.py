@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoreloom.plans.ordering import MAX_GROUP_ROWS, place_in_group
+from scoreloom.plans.unfolding import unfold
 
 # Fixed value: keeps degenerate margins from dividing by zero.
 EPSILON = 1e-10
@@ -20,7 +21,7 @@ EPSILON = 1e-10
 def doc_token_sets(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
     """One row per document and distinct token; other columns are kept."""
     kept = [c for c in docs.columns if c != tokens]
-    return docs.select(*kept, F.explode(F.array_distinct(tokens)).alias("token"))
+    return unfold(docs, F.array_distinct(tokens), "token", *kept)
 
 
 def class_doc_counts(docs: DataFrame) -> DataFrame:

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from scoreloom.functions import text as tx
 from scoreloom.functions.stemming import stem_tokens, stem_words
+from scoreloom.plans.unfolding import unfold, unfold_places
 
 
 def vocabulary(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
     """The distinct tokens of a corpus."""
-    return docs.select(F.explode(F.array_distinct(tokens)).alias("token")).distinct()
+    return unfold(docs, F.array_distinct(tokens), "token").distinct()
 
 
 def stem_vocabulary(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
@@ -36,7 +37,7 @@ def lemmatize_vocabulary(
         .groupBy(F.col("form").alias("_token"))
         .agg(F.min("lemma").alias("_lemma"))
     )
-    placed = docs.select(*keys, F.posexplode(tokens).alias("_at", "_token"))
+    placed = unfold_places(docs, tokens, "_at", "_token", *keys)
     mapped = (
         placed.join(forms, "_token", "left")
         .groupBy(*keys)
@@ -88,7 +89,7 @@ def corpus_summary(
         F.count(F.lit(1)).alias("documents"), F.count_distinct(category).alias("categories")
     )
     words = (
-        docs.select(split, F.explode(F.array_distinct(tokens)).alias("_token"))
+        unfold(docs, F.array_distinct(tokens), "_token", split)
         .distinct()
         .groupBy(split)
         .agg(F.count(F.lit(1)).alias("_vocabulary"))

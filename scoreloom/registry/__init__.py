@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ("retrieval", "text", "association")
+AREAS = ("retrieval", "text", "association", "features", "scoring")
 
 
 def load():

@@ -159,26 +159,24 @@ def top_k_retrieved(spark, sf_dir):
     return ranking.top_k_retrieved(inputs.runs(spark, sf_dir), 10).drop("rank_of_doc")
 
 
-def _metric(name, metric, sql, *more):
+def _metric(name, metric, args, sql, source="per_query"):
     ctes = (*JUDGED, IDEAL_SQL, PER_QUERY_SQL)
 
     @register(
         name,
-        with_ctes(*ctes, select=f"SELECT system_number, query_number, {sql} FROM {' '.join(more)}"),
+        with_ctes(*ctes, select=f"SELECT system_number, query_number, {sql} FROM {source}"),
     )
     def run(spark, sf_dir):
-        return rounded(ranking.score_lists(_judged(spark, sf_dir), score=metric), "score")
+        return rounded(ranking.score_lists(_judged(spark, sf_dir), score=metric(*args)), "score")
 
     return run
 
 
-_metric(
-    "precision_at_k", ranking.precision_at_k(10), 'round("P@10", 6) AS score', "per_query"
-)
-_metric("recall_at_k", ranking.recall_at_k(50), 'round("R@50", 6) AS score', "per_query")
-_metric("r_precision", ranking.r_precision(), 'round("r-precision", 6) AS score', "per_query")
-_metric("average_precision", ranking.average_precision(), 'round("AP", 6) AS score', "per_query")
-_metric("dcg_at_k", ranking.dcg_at_k(10), "round(d10, 6)::DOUBLE AS score", "dcg")
+_metric("precision_at_k", ranking.precision_at_k, (10,), 'round("P@10", 6) AS score')
+_metric("recall_at_k", ranking.recall_at_k, (50,), 'round("R@50", 6) AS score')
+_metric("r_precision", ranking.r_precision, (), 'round("r-precision", 6) AS score')
+_metric("average_precision", ranking.average_precision, (), 'round("AP", 6) AS score')
+_metric("dcg_at_k", ranking.dcg_at_k, (10,), "round(d10, 6)::DOUBLE AS score", "dcg")
 
 
 @register(

@@ -99,3 +99,8 @@ def read_tweets_notebook(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(
         strip_ends(F.col("id")).alias("id"), "text", strip_ends(F.col("category")).alias("category")
     )
+
+
+def read_experiment_results(spark: SparkSession, path: str) -> DataFrame:
+    """The result table kept by :func:`scoreloom.sources.writers.append_experiment_result`."""
+    return spark.read.schema(schemas.EXPERIMENT).parquet(path)
