@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ("retrieval", "text", "association", "features", "scoring")
+AREAS = (
+    "retrieval", "text", "association", "topics", "features", "classify", "scoring", "contracts",
+)
 
 
 def load():
