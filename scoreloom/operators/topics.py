@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.operators.terms import MAX_TERMS, TermModel, fit_terms
 from scoreloom.plans.ordering import MAX_GROUP_ROWS, place_in_group
+from scoreloom.plans.spreading import spread
 from scoreloom.plans.unfolding import unfold
 
 # Topics, passes over the corpus, seed, and the smallest reported probability.
@@ -21,6 +22,7 @@ SEED = 42
 MIN_PROBABILITY = 0.01
 # Documents per model update in a corpus of ordinary size.
 CHUNK = 2000
+ROWS_PER_TASK = 250
 
 
 def build_vocabulary(docs: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
@@ -62,9 +64,10 @@ def fit_topics(
     """
     docs = docs.select(F.col("tokens").alias("terms"))
     terms = fit_terms(docs, max_terms)
-    counts = terms.transform(docs).select("features").persist()
+    n_docs = docs.count()
+    counts = spread(terms.transform(docs).select("features"), n_docs, ROWS_PER_TASK).persist()
     try:
-        sample = min(1.0, max(0.05, CHUNK / max(1, counts.count())))
+        sample = min(1.0, max(0.05, CHUNK / max(1, n_docs)))
         lda = LDA(
             k=k,
             optimizer="online",

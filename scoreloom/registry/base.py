@@ -28,6 +28,19 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return keep
 
 
+def once_per_data(fit: Callable) -> Callable:
+    """Fit a model once per session and data folder; several queries report on it."""
+    fitted: dict = {}
+
+    def get(spark: SparkSession, folder: str):
+        key = (spark.sparkContext.applicationId, folder)
+        if key not in fitted:
+            fitted[key] = fit(spark, folder)
+        return fitted[key]
+
+    return get
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

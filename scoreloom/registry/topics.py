@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.operators import topics as ops
 from scoreloom.plans.durable import cut
-from scoreloom.registry.base import register, with_ctes
+from scoreloom.registry.base import once_per_data, register, with_ctes
 from scoreloom.registry.inputs import CORPUS_SQL
 from scoreloom.registry.text import TOKENS_SQL, corpus_docs
 
@@ -36,26 +36,32 @@ def doc_to_bow(spark, sf_dir):
     return ops.doc_to_bow(corpus_docs(spark, sf_dir), "doc_id")
 
 
-def _docs(spark, sf_dir):
-    return cut(corpus_docs(spark, sf_dir, stem=True))
+@once_per_data
+def _fitted(spark, sf_dir):
+    """The stemmed corpus and its topic model."""
+    docs = cut(corpus_docs(spark, sf_dir, stem=True))
+    return docs, ops.fit_topics(docs)
 
 
+def _document_topics(spark, sf_dir):
+    docs, model = _fitted(spark, sf_dir)
+    return ops.document_topics(model, docs)
+
+
+@once_per_data
 def _averages(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
-    model = ops.fit_topics(docs)
-    return cut(ops.corpus_topic_average(ops.document_topics(model, docs)))
+    return cut(ops.corpus_topic_average(_document_topics(spark, sf_dir)))
 
 
 @register("fit_topics")
 def fit_topics(spark, sf_dir):
     """Every topic with its most probable word, as a summary of the fitted model."""
-    return ops.topic_top_words(ops.fit_topics(_docs(spark, sf_dir)), 1)
+    return ops.topic_top_words(_fitted(spark, sf_dir)[1], 1)
 
 
 @register("document_topics")
 def document_topics(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
-    return ops.document_topics(ops.fit_topics(docs), docs)
+    return _document_topics(spark, sf_dir)
 
 
 @register("corpus_topic_average")
@@ -70,7 +76,7 @@ def dominant_topic(spark, sf_dir):
 
 @register("topic_top_words")
 def topic_top_words(spark, sf_dir):
-    return ops.topic_top_words(ops.fit_topics(_docs(spark, sf_dir)))
+    return ops.topic_top_words(_fitted(spark, sf_dir)[1])
 
 
 @register("topic_average_table")
