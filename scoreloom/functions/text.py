@@ -14,6 +14,17 @@ WHITESPACE = (
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 )
 
+# The same characters one by one.
+WHITESPACE_CHARACTERS = "".join(
+    chr(code)
+    for first, last in (
+        (0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680),
+        (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000),
+    )
+    for code in range(first, last + 1)
+)
+_OTHER_SPACES = WHITESPACE_CHARACTERS.replace(" ", "")
+
 # English stop words, as published with the common NLP toolkits.
 ENGLISH_STOP_WORDS = tuple(
     """
@@ -43,7 +54,7 @@ def lowercase(text: Column) -> Column:
 
 def keep_letters(text: Column) -> Column:
     """Delete everything but a-z and whitespace; the neighbours close up."""
-    return F.regexp_replace(text, f"[^a-z{WHITESPACE}]", "")
+    return F.regexp_replace(text, f"[^a-z{WHITESPACE}]+", "")
 
 
 def strip_urls(text: Column) -> Column:
@@ -67,12 +78,17 @@ def strip_punctuation(text: Column) -> Column:
 
 def strip_ends(text: Column) -> Column:
     """Delete whitespace of any kind at both ends."""
-    return F.regexp_replace(text, rf"\A[{WHITESPACE}]+|[{WHITESPACE}]+\z", "")
+    return F.btrim(text, F.lit(WHITESPACE_CHARACTERS))
 
 
 def split_whitespace(text: Column) -> Column:
-    """Words between runs of whitespace, none of them empty."""
-    return F.filter(F.split(text, f"[{WHITESPACE}]+"), lambda word: word != "")
+    """Words between runs of whitespace, none of them empty.
+
+    Every whitespace character becomes a plain space first: splitting on one
+    literal character needs no regular expression and is several times faster.
+    """
+    spaced = F.translate(text, _OTHER_SPACES, " " * len(_OTHER_SPACES))
+    return F.filter(F.split(spaced, " "), lambda word: word != "")
 
 
 def tokenize_words(text: Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.functions.text import strip_ends
@@ -49,30 +49,70 @@ EXPERIMENT_CONTRACT = Contract(
 )
 
 
-def parse_lines(lines: DataFrame, contract: Contract, line: str = "value") -> DataFrame:
+def parse_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     """Fields of the data lines of a file: ``line``, ``fields`` and ``width``."""
     stripped = lines.select(strip_ends(F.col(line)).alias("line"))
     fields = F.split("line", ",")
     return stripped.withColumn("fields", fields).withColumn("width", F.size("fields"))
 
 
-def _well_formed(parsed: DataFrame, contract: Contract) -> DataFrame:
-    right = parsed.filter(F.col("width") == len(contract.columns))
-    return right.select(
-        *[F.get("fields", i).alias(c) for i, c in enumerate(contract.columns)]
-    )
-
-
 def _violation(df: DataFrame, rule: str, key, detail) -> DataFrame:
     return df.select(
         F.lit(rule).alias("rule"), key.alias("key"), detail.cast("string").alias("detail")
     )
 
 
-def _key(contract: Contract):
+def _key(contract: Contract) -> Column:
     return F.concat_ws(",", *[F.col(f"`{c}`") for c in contract.domains])
 
 
+def _right_width(contract: Contract) -> Column:
+    return F.col("width") == len(contract.columns)
+
+
+def _field(contract: Contract, column: str) -> Column:
+    return F.get("fields", list(contract.columns).index(column))
+
+
+def _entry(rule: str, key: Column, detail: Column) -> Column:
+    return F.struct(
+        F.lit(rule).alias("rule"), key.alias("key"), detail.cast("string").alias("detail")
+    )
+
+
+def _line_entries(contract: Contract, rule: str) -> list[Column]:
+    """What can be wrong with a line on its own; NULL where it is right."""
+    if rule == "column_count":
+        return [F.when(~_right_width(contract), _entry(rule, F.col("line"), F.col("width")))]
+    key = F.concat_ws(",", *[_field(contract, c) for c in contract.domains])
+
+    def wrong(column: str, test: Column) -> Column:
+        detail = F.concat(F.lit(f"{column}="), _field(contract, column))
+        return F.when(_right_width(contract) & test, _entry(rule, key, detail))
+
+    if rule == "domain":
+        return [
+            wrong(column, ~_field(contract, column).isin(list(allowed)))
+            for column, allowed in contract.domains.items()
+        ]
+    return [
+        wrong(column, ~strip_ends(_field(contract, column)).rlike(NUMBER))
+        for column in contract.scores
+    ]
+
+
+def _line_violations(parsed: DataFrame, contract: Contract, *rules: str) -> DataFrame:
+    """Violations of line rules, all found in one pass over the lines."""
+    entries = [entry for rule in rules for entry in _line_entries(contract, rule)]
+    found = parsed.select(F.explode_outer(F.array_compact(F.array(*entries))).alias("_found"))
+    return found.filter(F.col("_found").isNotNull()).select("_found.*")
+
+
+def _key_counts(parsed: DataFrame, contract: Contract) -> DataFrame:
+    keys = [_field(contract, c).alias(c) for c in contract.domains]
+    return parsed.filter(_right_width(contract)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def check_header(headers: DataFrame, contract: Contract, line: str = "value") -> DataFrame:
     """Header lines that differ from the column names in their order."""
     wrong = headers.filter(strip_ends(F.col(line)) != contract.header)
@@ -81,49 +121,23 @@ def check_header(headers: DataFrame, contract: Contract, line: str = "value") ->
 
 def check_column_count(parsed: DataFrame, contract: Contract) -> DataFrame:
     """Lines of another width than the contract, blank ones included."""
-    wrong = parsed.filter(F.col("width") != len(contract.columns))
-    return _violation(wrong, "column_count", F.col("line"), F.col("width"))
-
-
-def check_unique_key(parsed: DataFrame, contract: Contract) -> DataFrame:
-    """Keys that occur more than once, with the number of lines."""
-    keys = _well_formed(parsed, contract).groupBy(*contract.domains)
-    repeated = keys.agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    return _violation(repeated, "unique_key", _key(contract), F.col("_n"))
+    return _line_violations(parsed, contract, "column_count")
 
 
 def check_domain(parsed: DataFrame, contract: Contract) -> DataFrame:
     """Key fields of a line outside the allowed values."""
-    wrong = [
-        F.when(
-            ~F.col(column).isin(list(allowed)),
-            F.concat(F.lit(f"{column}="), F.col(column)),
-        )
-        for column, allowed in contract.domains.items()
-    ]
-    lines = _well_formed(parsed, contract).select(
-        *contract.domains, F.explode_outer(F.array_compact(F.array(*wrong))).alias("_wrong")
-    )
-    return _violation(
-        lines.filter(F.col("_wrong").isNotNull()), "domain", _key(contract), F.col("_wrong")
-    )
+    return _line_violations(parsed, contract, "domain")
 
 
 def check_numeric(parsed: DataFrame, contract: Contract) -> DataFrame:
     """Scores that do not read as a number; every score column is checked."""
-    wrong = [
-        F.when(
-            ~strip_ends(F.col(f"`{column}`")).rlike(NUMBER),
-            F.concat(F.lit(f"{column}="), F.col(f"`{column}`")),
-        )
-        for column in contract.scores
-    ]
-    lines = _well_formed(parsed, contract).select(
-        *contract.domains, F.explode_outer(F.array_compact(F.array(*wrong))).alias("_wrong")
-    )
-    return _violation(
-        lines.filter(F.col("_wrong").isNotNull()), "numeric", _key(contract), F.col("_wrong")
-    )
+    return _line_violations(parsed, contract, "numeric")
+
+
+def check_unique_key(parsed: DataFrame, contract: Contract) -> DataFrame:
+    """Keys that occur more than once, with the number of lines."""
+    repeated = _key_counts(parsed, contract).filter("_n > 1")
+    return _violation(repeated, "unique_key", _key(contract), F.col("_n"))
 
 
 def check_complete(parsed: DataFrame, contract: Contract) -> DataFrame:
@@ -132,16 +146,24 @@ def check_complete(parsed: DataFrame, contract: Contract) -> DataFrame:
     for column, allowed in contract.domains.items():
         values = F.array(*[F.lit(v) for v in allowed])
         wanted = wanted.select("*", F.explode(values).alias(column))
-    found = _well_formed(parsed, contract).select(*contract.domains).distinct()
+    # Keeping the count makes this the same aggregate as for repeated keys.
+    found = _key_counts(parsed, contract).filter("_n > 0")
     missing = wanted.join(found, list(contract.domains), "left_anti")
     return _violation(missing, "complete", _key(contract), F.lit("missing"))
 
 
 def check_all(headers: DataFrame, lines: DataFrame, contract: Contract) -> DataFrame:
-    """All violations of a file given as header and data lines."""
-    parsed = parse_lines(lines, contract)
-    checks = (check_column_count, check_unique_key, check_domain, check_numeric, check_complete)
-    found = [check_header(headers, contract)] + [check(parsed, contract) for check in checks]
+    """All violations of a file given as header and data lines.
+
+    The line rules share one pass, and the key rules one count of the keys.
+    """
+    parsed = parse_lines(lines)
+    found = (
+        check_header(headers, contract),
+        _line_violations(parsed, contract, "column_count", "domain", "numeric"),
+        check_unique_key(parsed, contract),
+        check_complete(parsed, contract),
+    )
     return reduce(DataFrame.unionByName, found)
 
 

@@ -19,3 +19,14 @@ def spread(df: DataFrame, rows: int, rows_per_task: int) -> DataFrame:
     if useful < cores:
         return df.coalesce(useful) if present > useful else df
     return df.repartition(cores) if present < cores else df
+
+
+def spread_scan(df: DataFrame, key: str) -> DataFrame:
+    """A table about to be worked on row by row, over all cores.
+
+    A few files of few row groups would leave most cores idle during costly text
+    work; such a table is shuffled by its key first.  A large one, which comes in
+    more partitions than there are cores, is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

@@ -83,7 +83,7 @@ def check_header(spark, sf_dir):
 def _check(name, check):
     @register(name, with_ctes(LINES_SQL, select=CHECKS_SQL[name]))
     def run(spark, sf_dir):
-        return check(ops.parse_lines(_lines(spark, sf_dir), CONTRACT), CONTRACT)
+        return check(ops.parse_lines(_lines(spark, sf_dir)), CONTRACT)
 
     return run
 

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from scoreloom.functions import text as tx
 from scoreloom.operators import corpus as ops
 from scoreloom.plans.durable import fresh_path
+from scoreloom.plans.spreading import spread_scan
 from scoreloom.registry import inputs
-from scoreloom.registry.base import joined, register, with_ctes
+from scoreloom.registry.base import joined, register, table, with_ctes
 from scoreloom.registry.inputs import CORPUS_SQL, TWEETS_SQL
 from scoreloom.sources import readers
 
@@ -108,11 +109,12 @@ _column(
 
 
 def corpus_docs(spark, sf_dir, stem=False):
-    return ops.preprocess_corpus(inputs.corpus(spark, sf_dir), stem=stem).drop("text")
+    docs = spread_scan(inputs.corpus(spark, sf_dir), "doc_id")
+    return ops.preprocess_corpus(docs, stem=stem).drop("text")
 
 
 def tweet_docs(spark, sf_dir):
-    return ops.preprocess_tweets(inputs.tweets(spark, sf_dir))
+    return ops.preprocess_tweets(spread_scan(inputs.tweets(spark, sf_dir), "row_id"))
 
 
 @register(
@@ -237,7 +239,7 @@ words AS (SELECT split, count(DISTINCT w) AS vocabulary
     ),
 )
 def corpus_summary(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+    docs = spread_scan(table(spark, sf_dir, "documents"), "doc_id").select(
         F.col("source").alias("split"), "lang", tx.notebook_tokens(F.col("text")).alias("tokens")
     )
     return ops.corpus_summary(docs, "split", "lang")
