@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scoreloom.operators import contracts as ops
+from scoreloom.plans.spreading import spread_scan
 from scoreloom.registry.base import register, table, with_ctes
 from scoreloom.sources.schemas import METRICS
 
@@ -64,7 +65,11 @@ def _lines(spark, sf_dir):
                      CASE WHEN l_returnflag = 'R' THEN 'n/a' ELSE string(l_tax) END, l_tax,
                      CASE WHEN l_linestatus = 'F' OR l_quantity > 10 THEN '0.5' END)"""
     )
-    return table(spark, sf_dir, "lineitem").select(fields.alias("value"))
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+        "l_tax", "l_returnflag", "l_linestatus",
+    )
+    return spread_scan(items, "l_orderkey").select(fields.alias("value"))
 
 
 def _headers(spark, sf_dir):
