@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scoreloom.plans.ordering import MAX_GROUP_ROWS, place_in_group
+from scoreloom.plans.ordering import MAX_GROUP_ROWS, largest_group, place_in_group
 from scoreloom.plans.unfolding import unfold
 
 # Fixed value: keeps degenerate margins from dividing by zero.
@@ -151,10 +151,11 @@ def method_rank_comparison(
 ) -> DataFrame:
     """Places of each token under both methods, their difference, and top-``k`` membership."""
     pairs = scores.select("label", "token", "mi", "chi2")
+    largest = largest_group(scores, ["label"])
     for method in ("mi", "chi2"):
         pairs = place_in_group(
             pairs, ["label"], [F.desc(method), F.asc("token")],
-            place=f"{method}_place", max_group_rows=max_group_rows, sizes_of=scores,
+            place=f"{method}_place", max_group_rows=max_group_rows, largest=largest,
         )
     return pairs.select(
         "label",

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoreloom.functions.numeric import discount_sum, harmonic, ratio
-from scoreloom.plans.ordering import MAX_GROUP_ROWS, place_in_group
-from scoreloom.plans.sizing import broadcast_checked
+from scoreloom.plans.ordering import MAX_GROUP_ROWS, largest_group, place_in_group
+from scoreloom.plans.sizing import BROADCAST_ROWS, at_most
 from scoreloom.sources.schemas import METRICS
 
 # Cut-offs of the reported metrics.
@@ -93,9 +93,19 @@ def top_k_retrieved(runs: DataFrame, k: int) -> DataFrame:
 def judged_results(
     runs: DataFrame, qrels: DataFrame, max_group_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
-    """Ranked rows with position, copies, hits up to and including the row, and judgement."""
-    index = broadcast_checked(judged_index(qrels), bound=qrels)
+    """Ranked rows with position, copies, hits up to and including the row, and judgement.
+
+    With few enough judgements to broadcast and no oversized list, the bare runs
+    are partitioned by list before the join: this is the only shuffle of the runs,
+    it moves four columns, and the window and the metrics reuse it.
+    """
+    index = judged_index(qrels)
     lists = runs.select(*RUN_KEY, "doc_number", "rank_of_doc")
+    largest = largest_group(lists, RUN_KEY)
+    if at_most(qrels, BROADCAST_ROWS):
+        index = F.broadcast(index)
+        if largest <= max_group_rows:
+            lists = lists.repartition(*RUN_KEY)
     judged = lists.join(
         index.withColumnsRenamed({"query_id": "query_number", "doc_id": "doc_number"}),
         ["query_number", "doc_number"],
@@ -103,7 +113,7 @@ def judged_results(
     ).withColumn("hit", F.when(F.col("n_rel").isNotNull(), 1).otherwise(0))
     return place_in_group(
         judged, RUN_KEY, [F.asc("rank_of_doc"), F.asc("doc_number")],
-        running={"hits": "hit"}, collapse=True, max_group_rows=max_group_rows, sizes_of=lists,
+        running={"hits": "hit"}, collapse=True, max_group_rows=max_group_rows, largest=largest,
     )
 
 

@@ -37,24 +37,26 @@ def place_in_group(
     place: str = "pos",
     collapse: bool = False,
     max_group_rows: int = MAX_GROUP_ROWS,
-    sizes_of: DataFrame | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
     """Add the 1-based ``place`` of each row in its group, and running totals.
 
     ``running`` maps a new column to the numeric column whose total up to and
     including the row it holds.  With ``collapse`` the result has a ``copies``
     column, ``place`` is that of the first copy and the totals count each copy.
-    ``sizes_of`` is a table with the same rows per group that is cheaper to count.
+    ``largest`` is the size of the largest group, if the caller has counted it.
     """
     running = dict(running or {})
     group = list(group)
-    hot = _hot_groups(df if sizes_of is None else sizes_of, group, max_group_rows)
-    if hot is None:
+    if largest is None:
+        largest = largest_group(df, group)
+    if largest <= max_group_rows:
         return _by_window(df, group, order, running, place, collapse)
-
-    same_group = [F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in group]
     if not group:
         return _by_slices(df, group, order, running, place, collapse, max_group_rows)
+
+    hot = _hot_groups(df, group, max_group_rows)
+    same_group = [F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in group]
     ordinary = df.join(hot, same_group, "left_anti")
     crowded = df.join(hot, same_group, "left_semi")
     return _by_window(ordinary, group, order, running, place, collapse).unionByName(
@@ -62,13 +64,18 @@ def place_in_group(
     )
 
 
-def _hot_groups(df: DataFrame, group: list[str], max_group_rows: int) -> DataFrame | None:
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = sizes.filter(F.col("_rows") > max_group_rows).select(
-        *[F.col(c).alias(f"_hot_{c}") for c in group], "_rows"
-    )
-    hot = small_table(hot)
-    return None if hot.isEmpty() else hot
+def _sizes(df: DataFrame, group: Sequence[str]) -> DataFrame:
+    return df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def largest_group(df: DataFrame, group: Sequence[str]) -> int:
+    """Rows of the largest group: one number, from counts combined before the shuffle."""
+    return _sizes(df, group).agg(F.max("_rows")).first()[0] or 0
+
+
+def _hot_groups(df: DataFrame, group: list[str], max_group_rows: int) -> DataFrame:
+    hot = _sizes(df, group).filter(F.col("_rows") > max_group_rows)
+    return small_table(hot.select(*[F.col(c).alias(f"_hot_{c}") for c in group]))
 
 
 def _by_window(df, group, order, running, place, collapse):

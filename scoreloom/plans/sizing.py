@@ -28,13 +28,5 @@ def small_table(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
-def broadcast_checked(
-    df: DataFrame, bound: DataFrame | None = None, max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Mark ``df`` for broadcast if ``bound`` (or ``df`` itself) has at most ``max_rows`` rows.
-
-    ``bound`` is a cheaper table known to have at least as many rows, such as the
-    input ``df`` was aggregated from.  A larger table is joined by shuffle.
-    """
-    rows = (df if bound is None else bound).count()
-    return F.broadcast(df) if rows <= max_rows else df
+def at_most(df: DataFrame, rows: int) -> bool:
+    return df.count() <= rows
