@@ -67,15 +67,6 @@ def judged_index(qrels: DataFrame, line_no: str | None = None) -> DataFrame:
     return index.join(idcg_at_k(index), "query_id")
 
 
-def place_results(runs: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Ranked rows with their list position ``pos``; equal ranks go by document number."""
-    lists = runs.select(*RUN_KEY, "doc_number", "rank_of_doc")
-    return place_in_group(
-        lists, RUN_KEY, [F.asc("rank_of_doc"), F.asc("doc_number")],
-        collapse=True, max_group_rows=max_group_rows,
-    )
-
-
 def top_k_retrieved(runs: DataFrame, k: int) -> DataFrame:
     """First ``k`` rows of each ranked list.
 
