@@ -283,3 +283,18 @@ def judge(
         .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))
         .drop(*names)
     )
+
+
+def keep_good(
+    documents: DataFrame,
+    model: VoteModel,
+    text: str = "text",
+    rules: Sequence[Rule] = RULES,
+    threshold: float = 0.5,
+) -> DataFrame:
+    """The documents that are kept, with their columns; the counts are made in the same pass."""
+    names = documents.columns
+    row = documents.select(F.struct(*(f"`{c}`" for c in names)).alias("_row"))
+    counted = with_counts(row.withColumn("_text", F.col(f"_row.`{text}`")), "_text")
+    kept = judge(counted, model, rules, threshold).filter("kept")
+    return kept.select(*(F.col(f"_row.`{c}`").alias(c) for c in names))

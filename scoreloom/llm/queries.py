@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import decontaminate, quality, sharding, simhash
+from scoreloom.llm import bpe, decontaminate, quality, sharding, simhash, suffixes
 from scoreloom.llm.common import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +102,15 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@register("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    left = suffixes.remove_repeats(documents)
+    return left.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @register("op7_simhash")
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
@@ -117,3 +126,17 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     counted = stored(quality.with_counts(documents).drop("text"), "counts")
     judged = quality.judge(counted, quality.learn_rules(counted))
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "quality")
+
+
+def tokenizer(name: str) -> str:
+    """Where the file of a public tokenizer is on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@register("op9_bpe")
+def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    file = tokenizer("word_bpe_49k.json")
+    return bpe.encode(documents, file, extra=bpe.digests, fields=bpe.DIGESTS)
