@@ -4,8 +4,8 @@ A byte goes if a string of ``span`` bytes that covers it also starts in a docume
 a smaller id.  Three exchanges of small parts of the text make this a join:
 
 1. Every window of ``span`` bytes has a smallest hash among its ``GRAM``-byte strings, so
-   equal windows share it.  Documents list these hashes with a place; those that another
-   document lists too come back as candidates.
+   equal windows share it.  Documents list these hashes; those that another document lists
+   too come back as candidates.
 2. The runs of candidate windows with one hash are cut out as snippets of little more than
    ``span`` bytes and grouped by the hash.
 3. Snippets of whole groups are put in one text of bounded size, whose suffix array is made
@@ -33,6 +33,9 @@ from scoreloom.llm.common import LAST_ID, column_of, slices, stored, texts_of
 
 SPAN = 50
 GRAM = 20
+INNER = 4
+# Equal hashes of different strings only add candidates, so they are kept short in the shuffles.
+HASH_BITS = 48
 SLICE = 2 << 20
 BLOCK_BYTES = 1 << 20
 GROUP_BYTES = 32 << 20
@@ -63,7 +66,21 @@ def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
             scale = np.uint64(pow(base, size, 1 << 64))
             power, size = power[:n] * scale + power[size : size + n], 2 * size
     total = (total ^ (total >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return total ^ (total >> np.uint64(32))
+    return (total ^ (total >> np.uint64(32))) >> np.uint64(64 - HASH_BITS)
+
+
+def sampling_order(data: np.ndarray, k: int, inner: int = INNER) -> np.ndarray:
+    """Hashes of the ``k``-byte strings, smaller where the middle one of their ``inner``-byte
+    strings has the smallest hash.
+
+    Such strings lie evenly in a text, so windows change their smallest string more seldom.
+    """
+    values = gram_hashes(data, k) >> np.uint64(1)
+    short = gram_hashes(data, inner)
+    width = k - inner + 1
+    middle = short[width // 2 :][: len(values)]
+    common = middle != sliding_minima(short, width)[: len(values)]
+    return values | (common.astype(np.uint64) << np.uint64(HASH_BITS - 1))
 
 
 def sliding_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -89,7 +106,7 @@ class Runs:
         self.hash, self.text, self.start, self.size = empty.view(np.uint64), empty, empty, empty
         if len(self.data) < span:
             return
-        minima = sliding_minima(gram_hashes(self.data, gram), span - gram + 1)
+        minima = sliding_minima(sampling_order(self.data, gram), span - gram + 1)
         counts = np.maximum(0, lengths - span + 1)
         owner = np.repeat(np.arange(len(texts)), counts)
         before = np.cumsum(counts) - counts
@@ -132,27 +149,31 @@ def smaller_than_next(symbols: np.ndarray) -> np.ndarray:
 def sort_directly(
     places: np.ndarray, keys: np.ndarray, rest: np.ndarray, depth: int
 ) -> np.ndarray:
-    """``places`` by the first ``depth`` symbols from them, or those up to the end of the snippet."""
-    first = keys[places]
-    order = np.argsort(first, kind="stable")
-    places, first = places[order], first[order]
-    new = np.r_[True, first[1:] != first[:-1]] if len(places) else np.zeros(0, bool)
-    for done in range(KEY, depth, KEY):
-        alone = new & np.r_[new[1:], True]
-        tied = np.flatnonzero(~alone & (rest[places] >= done))
-        if not len(tied):
+    """``places`` by the first ``depth`` symbols from them, or those up to the end of the snippet.
+
+    First by one key of seven symbols; then those still equal, within their group, by as many
+    further symbols as fit beside the number of the group.
+    """
+    order = np.argsort(keys[places])
+    places = places[order]
+    equal = keys[places]
+    at, done = np.arange(len(places)), KEY
+    while len(at):
+        new = np.r_[True, equal[1:] != equal[:-1]]
+        group = np.cumsum(new) - 1
+        mine = places[at]
+        # Alone in the group, or ended: equal ones have ended at the same symbol.
+        open_ = ~(new & np.r_[new[1:], True]) & (rest[mine] >= done)
+        at, mine, group = at[open_], mine[open_], group[open_]
+        if done >= depth or not len(at):
             break
-        group = np.cumsum(new)[tied]
-        # Places whose snippet has ended are left where they are in their group.
-        mine = places[tied]
-        key = keys[np.minimum(mine + done, len(keys) - 1)]
-        order = np.lexsort((key, group))
-        places[tied] = mine[order]
-        key, group = key[order], group[order]
-        changed = np.r_[True, (key[1:] != key[:-1]) | (group[1:] != group[:-1])]
-        new[tied] |= changed
-        after = tied + 1
-        new[after[after < len(new)]] |= ~np.isin(after[after < len(new)], tied)
+        step = min(KEY, (63 - int(group[-1]).bit_length()) // SYMBOL)
+        following = keys[np.minimum(mine + done, len(keys) - 1)]
+        following >>= np.uint64(SYMBOL * (KEY - step))
+        equal = (group.astype(np.uint64) << np.uint64(SYMBOL * step)) | following
+        order = np.argsort(equal)
+        places[at], equal = mine[order], equal[order]
+        done += step
     return places
 
 
@@ -210,9 +231,11 @@ def common_prefixes(order: np.ndarray, keys: np.ndarray, depth: int) -> np.ndarr
         a, b = order[open_ - 1] + done, order[open_] + done
         n = len(keys) - 1
         x = keys[np.minimum(a, n)] ^ keys[np.minimum(b, n)]
-        equal = sum((x >> np.uint64(SYMBOL * i)) == 0 for i in range(KEY))
-        shared[open_] += equal
-        open_ = open_[equal == KEY]
+        other = x != 0
+        apart = x[other]
+        shared[open_] += KEY
+        shared[open_[other]] -= sum((apart >> np.uint64(SYMBOL * i)) != 0 for i in range(KEY))
+        open_ = open_[~other]
         if not len(open_):
             break
     return np.minimum(shared, depth)
@@ -244,17 +267,19 @@ def repeated_windows(
 
 # --- the three exchanges ----------------------------------------------------------------------
 
-MARKS = "hash long, doc long, place long"
-SNIPPETS = "hash long, snippet binary, doc long, twin long, starts array<long>, size long"
+MARKS = "hash long, doc long"
+SNIPPETS = (
+    "hash long, snippet binary, doc long, twin long, start long, more array<long>, size long"
+)
 SPANS = "doc long, twin long, start long, end long"
 
 
-def _marks(span: int, gram: int):
-    """Each document's distinct smallest hashes, with the first window that has it.
+def _marks(span: int, gram: int, answered: bool):
+    """Each document's distinct smallest hashes.
 
-    Hashes that several documents of the slice have need no answer: their places go on as
-    candidates at once (place -2-p, spread over the tasks), and one row without a place (-1)
-    speaks for them.
+    A hash that several documents of the slice have needs no answer: they are candidates at
+    once (the rows of ``answered``), and one row without a document speaks for them among the
+    others.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,54 +287,41 @@ def _marks(span: int, gram: int):
             runs = Runs(texts_of(part), span, gram)
             if not len(runs.hash):
                 continue
-            docs = column_of(part, "doc").to_numpy()[runs.text]
-            order = np.lexsort((runs.start, runs.text, runs.hash))
-            h, t, p, d = (x[order] for x in (runs.hash, runs.text, runs.start, docs))
+            order = np.lexsort((runs.text, runs.hash))
+            h, t = runs.hash[order], runs.text[order]
             first = np.r_[True, (h[1:] != h[:-1]) | (t[1:] != t[:-1])]
-            h, p, d = h[first], p[first], d[first]
+            h, d = h[first], column_of(part, "doc").to_numpy()[t[first]]
             new = np.r_[True, h[1:] != h[:-1]]
             several = ~(new & np.r_[new[1:], True])
-            heads = h[new & several]
-            spread = (h ^ (d.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(
-                0xBF58476D1CE4E5B9
-            )
-            hashes = np.r_[np.where(several, spread ^ p.astype(np.uint64), h), heads]
-            places = np.r_[np.where(several, -2 - p, p), np.full(len(heads), -1)]
-            ids = np.r_[d, d[new & several]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes.view(np.int64)), pa.array(ids), pa.array(places)],
-                ["hash", "doc", "place"],
-            )
+            if answered:
+                rows = [pa.array(h[several].view(np.int64)), pa.array(d[several])]
+            else:
+                hidden = (several & new)[new | ~several]
+                h, d = h[new | ~several], d[new | ~several]
+                rows = [pa.array(h.view(np.int64)), pa.array(d, mask=hidden)]
+            yield pa.RecordBatch.from_arrays(rows, ["hash", "doc"])
 
     return run
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, place) of the marks whose hash has more than one row; rows come sorted by hash."""
-    held_hash, held_doc, held_place, held_rows = None, 0, 0, 0
+    """The marks whose hash has more than one row, with their document; sorted by hash."""
+    held: pa.RecordBatch | None = None  # the last row, if it is the first of its hash
+    last = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        h, d, p = (column_of(batch, c).to_numpy() for c in ("hash", "doc", "place"))
-        new = np.r_[True, h[1:] != h[:-1]]
-        twin = ~(new & np.r_[new[1:], True])
-        docs, places = [], []
-        if held_hash is not None and h[0] == held_hash:
-            twin[0] = True
-            if held_rows == 1 and held_place >= 0:
-                docs.append(np.array([held_doc]))
-                places.append(np.array([held_place]))
-            held_rows += 1
-        own = twin & (p >= 0)
-        # The last row waits for the next batch if it is alone so far.
-        passed = p <= -2
-        docs += [d[own], d[passed]]
-        places += [p[own], -2 - p[passed]]
-        held_hash, held_doc, held_place = int(h[-1]), int(d[-1]), int(p[-1])
-        held_rows = 2 if twin[-1] else 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(docs)), pa.array(np.concatenate(places))], ["doc", "place"]
-        )
+        h = column_of(batch, "hash").to_numpy()
+        new = np.r_[h[0] != last, h[1:] != h[:-1]]
+        shared = ~(new & np.r_[new[1:], True])
+        if held is not None:
+            if not new[0]:
+                yield held
+            held = None
+        if not shared[-1]:
+            held = batch.slice(batch.num_rows - 1)
+        last = int(h[-1])
+        yield batch.filter(pa.array(shared))
 
 
 def _snippets(span: int, gram: int):
@@ -327,18 +339,15 @@ def _snippets(span: int, gram: int):
                 continue
             docs = column_of(part, "doc").to_numpy()
             twins = column_of(part, "twin").to_numpy()
-            lists = column_of(part, "places")
-            sizes = np.array([len(t) for t in texts], np.int64)
+            lists = column_of(part, "hashes")
             counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            places = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             owner = np.repeat(np.arange(len(texts)), counts)
             copies = column_of(part, "copies").to_pylist()
             skip = np.array([t in (c or ()) for t, c in zip(twins.tolist(), copies, strict=True)])
-            fine = (places + span <= sizes[owner]) & ~skip[owner]
-            owner, places = owner[fine], places[fine]
-            salt = np.arange(len(texts)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            wanted = runs.minima[runs.offsets[owner] + places] ^ salt[owner]
-            chosen = np.flatnonzero(np.isin(runs.hash ^ salt[runs.text], wanted))
+            salt = np.arange(len(texts)).astype(np.uint64) << np.uint64(HASH_BITS)
+            wanted = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64) | salt[owner]
+            chosen = np.isin(runs.hash | salt[runs.text], wanted[~skip[owner]])
+            chosen = np.flatnonzero(chosen)
             found: dict[bytes, dict[int, list[int]]] = {}
             hashes: dict[bytes, int] = {}
             for text, start, size, value in zip(
@@ -355,18 +364,18 @@ def _snippets(span: int, gram: int):
             for snippet, by_text in found.items():
                 least = min(int(docs[t]) for t in by_text)
                 for t, starts in by_text.items():
-                    row = (int(docs[t]), int(twins[t]), starts, len(snippet))
+                    row = (int(docs[t]), int(twins[t]), starts[0], starts[1:] or None)
                     if row[0] == least:
-                        rows.append((hashes[snippet], snippet, *row))
+                        rows.append((hashes[snippet], snippet, *row, 0))
                     else:
-                        rows.append((row[0] * 0x9E3779B1 % LAST_ID, None, *row))
+                        rows.append((row[0] * 0x9E3779B1 % LAST_ID, None, *row, len(snippet)))
             if rows:
                 columns = list(zip(*rows, strict=True))
-                kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-                kinds.append(pa.int64())
+                whole = pa.int64()
+                kinds = [whole, pa.binary(), whole, whole, whole, pa.list_(whole), whole]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                    ["hash", "snippet", "doc", "twin", "starts", "size"],
+                    ["hash", "snippet", "doc", "twin", "start", "more", "size"],
                 )
 
     return run
@@ -379,12 +388,22 @@ def _span_rows(docs, twins, starts, ends) -> pa.RecordBatch:
     )
 
 
+def _starts(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(row, start) of every place of the rows' snippets, by row."""
+    more = column_of(rows, "more")
+    counts = more.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    each = np.r_[np.arange(rows.num_rows), np.repeat(np.arange(rows.num_rows), counts)]
+    flat = more.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    starts = np.r_[column_of(rows, "start").to_numpy(), flat]
+    order = np.argsort(each, kind="stable")
+    return each[order], starts[order]
+
+
 def _block_spans(rows: pa.RecordBatch, span: int) -> pa.RecordBatch:
     """Spans that go, of whole groups of snippets."""
     snippets = column_of(rows, "snippet").to_pylist()
     docs = column_of(rows, "doc").to_numpy()
     twins = column_of(rows, "twin").to_numpy()
-    lists = column_of(rows, "starts")
     which, place = repeated_windows(snippets, docs, span)
     new = np.r_[True, (which[1:] != which[:-1]) | (place[1:] != place[:-1] + 1)]
     if not len(which):
@@ -392,15 +411,14 @@ def _block_spans(rows: pa.RecordBatch, span: int) -> pa.RecordBatch:
     first = np.flatnonzero(new)
     last = np.r_[first[1:], len(which)] - 1
     which, begin, end = which[first], place[first], place[last] + span
-    counts = lists.value_lengths().to_numpy()
-    offsets = np.cumsum(counts) - counts
-    flat = lists.flatten().to_numpy()
-    many = counts[which]
+    owner, starts = _starts(rows)
+    offsets = np.searchsorted(owner, np.arange(rows.num_rows + 1))
+    many = np.diff(offsets)[which]
     each = np.repeat(np.arange(len(which)), many)
     inner = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    base = flat[offsets[which[each]] + inner]
-    owner = which[each]
-    return _span_rows(docs[owner], twins[owner], base + begin[each], base + end[each])
+    base = starts[offsets[which[each]] + inner]
+    row = which[each]
+    return _span_rows(docs[row], twins[row], base + begin[each], base + end[each])
 
 
 def _groups(batches: Iterator[pa.RecordBatch], block: int, limit: int):
@@ -456,9 +474,7 @@ def _ordinary(span: int, block: int, limit: int):
                 docs, twins, sizes = (
                     column_of(certain, c).to_numpy() for c in ("doc", "twin", "size")
                 )
-                lists = column_of(certain, "starts")
-                each = np.repeat(np.arange(certain.num_rows), lists.value_lengths().to_numpy())
-                starts = lists.flatten().to_numpy()
+                each, starts = _starts(certain)
                 yield _span_rows(docs[each], twins[each], starts, starts + sizes[each])
             rest = rows.filter(pa.compute.invert(given)) if certain.num_rows else rows
             if rest.num_rows > 1 and not hot:
@@ -475,10 +491,11 @@ def _hot_windows(span: int, block: int, limit: int):
             if not hot:
                 continue
             windows, docs, twins, starts = [], [], [], []
-            for snippet, doc, twin, begins in zip(
-                *(column_of(rows, c).to_pylist() for c in ("snippet", "doc", "twin", "starts")),
-                strict=True,
+            given = ("snippet", "doc", "twin", "start", "more")
+            for snippet, doc, twin, start, more in zip(
+                *(column_of(rows, c).to_pylist() for c in given), strict=True
             ):
+                begins = [start, *(more or ())]
                 for i in range(len(snippet or b"") - span + 1):
                     windows.append(snippet[i : i + span])
                     docs.append(doc)
@@ -619,16 +636,18 @@ def remove_repeats(
     copies = digests.join(least.filter("n > 1"), "digest").filter("doc > least")
     copies = stored(copies.select("doc", "twin", "size"), "copies")
 
-    marks = plain.select("doc", "text").mapInArrow(_marks(span, gram), MARKS)
-    shared = marks.repartition("hash").sortWithinPartitions("hash").mapInArrow(
-        _shared, "doc long, place long"
-    )
+    texts = plain.select("doc", "text")
+    asked = texts.mapInArrow(_marks(span, gram, False), MARKS)
+    shared = asked.repartition("hash").sortWithinPartitions("hash").mapInArrow(_shared, MARKS)
+    known = texts.mapInArrow(_marks(span, gram, True), MARKS)
     none = F.lit(None).cast("long")
     candidates = (
-        shared.select("doc", "place", none.alias("copy"))
-        .union(copies.select("doc", none.alias("place"), F.col("twin").alias("copy")))
+        shared.filter("doc IS NOT NULL")
+        .union(known)
+        .select("doc", "hash", none.alias("copy"))
+        .union(copies.select("doc", none.alias("hash"), F.col("twin").alias("copy")))
         .groupBy("doc")
-        .agg(F.collect_list("place").alias("_places"), F.collect_set("copy").alias("_copies"))
+        .agg(F.collect_list("hash").alias("_hashes"), F.collect_set("copy").alias("_copies"))
         .withColumnRenamed("doc", "_candidate")
     )
     # Both joins take the same columns of the documents, so that one shuffle of them serves both.
@@ -663,7 +682,7 @@ def remove_repeats(
 
 def _renamed(function, text: str):
     """``function`` over batches in which the columns have the names it knows."""
-    known = {"_doc": "doc", "_twin": "twin", text: "text", "_places": "places", "_copies": "copies"}
+    known = {"_doc": "doc", "_twin": "twin", text: "text", "_hashes": "hashes", "_copies": "copies"}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def picked() -> Iterator[pa.RecordBatch]:
