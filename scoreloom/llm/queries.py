@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import bpe, decontaminate, quality, sharding, simhash, suffixes
+from scoreloom.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    html,
+    quality,
+    sharding,
+    simhash,
+    suffixes,
+    token_files,
+    warc,
+)
 from scoreloom.llm.common import stored
+from scoreloom.plans.durable import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,6 +114,14 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@register("op3_html_extraction")
+def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return html.extract(pages).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars")
+    )
+
+
 @register("op4_suffix_dedup")
 def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
@@ -111,6 +131,68 @@ def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+PLANTED = r"\### Assistant: </turn> ok"
+
+
+@register("op5_chat_format")
+def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame(
+        [(-7, 0, "user", PLANTED), (-7, 1, "assistant", PLANTED)], given.schema
+    )
+    return chat.read_back(chat.format_chat(given.union(planted)))
+
+
+# Records whose copy in the second replica is damaged: those whose URL's digest starts with 07.
+WARC_SQL = r"""
+WITH r AS (
+  SELECT page_id, coalesce(url, '') AS url,
+         'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) ||
+         'WARC-Record-ID: <urn:page:' || coalesce(CAST(page_id AS VARCHAR), '') || '>' ||
+         chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) ||
+         'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' ||
+         strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10) ||
+         coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
+  FROM pages),
+n AS (
+  SELECT page_id, url, CAST(strlen(record) AS BIGINT) AS size, sha256(record) AS record_sha256,
+         row_number() OVER (ORDER BY page_id NULLS FIRST, sha256(record)) - 1 AS ordinal
+  FROM r)
+SELECT page_id, ordinal, ordinal // 1000 AS file,
+       CAST(coalesce(sum(size) OVER (PARTITION BY ordinal // 1000 ORDER BY ordinal
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset",
+       size, record_sha256, substr(sha256(url), 1, 2) = '07' AS damaged
+FROM n
+"""
+
+
+@register("op6_warc_fixity", WARC_SQL)
+def op6_warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
+    """Audit of all pages, as an archive, against a replica in which some records have rotted."""
+    pages = table(spark, folder, "pages")
+    record = warc.record(F.col("page_id"), F.col("url"), F.col("html"))
+    rotten = F.sha2(F.coalesce("url", F.lit("")).cast("binary"), 256).startswith("07")
+    changed = F.concat(F.lit("WARC/1.1").cast("binary"), F.substring("record", 9, (1 << 31) - 1))
+    records = pages.select("page_id", record.alias("record"), rotten.alias("rotten")).select(
+        "page_id",
+        F.octet_length("record").cast("long").alias("size"),
+        warc.digest(F.col("record")).alias("first_copy"),
+        warc.digest(F.when(F.col("rotten"), changed).otherwise(F.col("record"))).alias("second"),
+    )
+    placed = stored(warc.manifest(records, ["page_id", "first_copy"]), "manifest")
+    trees = [warc.tree(placed.withColumn("hash", F.col(c))) for c in ("first_copy", "second")]
+    damaged = warc.audit(*trees).withColumn("damaged", F.lit(True))
+    return placed.join(damaged, F.col("ordinal") == F.col("node"), "left").select(
+        "page_id",
+        "ordinal",
+        "file",
+        "offset",
+        "size",
+        F.col("first_copy").alias("record_sha256"),
+        F.coalesce("damaged", F.lit(False)).alias("damaged"),
+    )
+
+
 @register("op7_simhash")
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
@@ -140,3 +222,19 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     file = tokenizer("word_bpe_49k.json")
     return bpe.encode(documents, file, extra=bpe.digests, fields=bpe.DIGESTS)
+
+
+END_ID = 2
+
+
+@register("op10_token_files")
+def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    path = fresh_path(spark, "token-files")
+    token_files.write_token_files(documents, path, tokenizer("byte_bpe_50k.json"), END_ID)
+    return token_files.read_token_files(spark, path).select(
+        F.col("key").alias("doc_id"),
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
