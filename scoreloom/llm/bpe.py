@@ -9,7 +9,7 @@ the encoding of a word is then read off backwards.
 
 Normalisation and the cut into words are those of the tokenizer file, applied once to
 each distinct run of characters between white space.  Encodings of words are kept for a
-bounded number of words in each task.
+bounded number of words in each worker.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 from tokenizers import Tokenizer
 
-from scoreloom.llm.common import column_of, slices
+from scoreloom.llm.common import column_of, per_process, slices
 
 KEPT_PIECES = 300_000
 # White space as the tokenizer's pattern has it; str.split() also cuts at four control characters.
@@ -69,7 +69,7 @@ class WordTrie:
         pair = (left, right)
         known = self.compatible.get(pair)
         if known is None:
-            if len(self.compatible) > 2_000_000:
+            if len(self.compatible) > 500_000:
                 self.compatible.clear()
             merged = self.merge([*self.symbols_of(left), *self.symbols_of(right)])
             known = self.compatible[pair] = merged == [left, right]
@@ -213,7 +213,7 @@ def encode(
     columns_of = extra or plain
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(file)
+        encoder = per_process(("word pieces", file), lambda: Encoder(file))
         for part in slices(batches, text, 4 << 20):
             texts = [t or "" for t in column_of(part, text).to_pylist()]
             pairs = encoder.encode(texts)

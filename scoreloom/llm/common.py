@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import sys
+from collections.abc import Callable, Hashable, Iterator, Sequence
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -80,6 +82,17 @@ def slices(
             start = end
 
 
+def per_process(key: Hashable, make: Callable[[], object]) -> object:
+    """A value that lives as long as the Python worker, over the tasks it runs.
+
+    The code of a stage is unpickled for every task, so its own globals don't last.
+    """
+    state = sys.modules.setdefault("_scoreloom_worker", ModuleType("_scoreloom_worker")).__dict__
+    if key not in state:
+        state[key] = make()
+    return state[key]
+
+
 def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

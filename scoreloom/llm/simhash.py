@@ -29,6 +29,7 @@ BITS = 64
 SEED = 42
 SHINGLE_BLOCK = 1 << 16
 BLOCK_FINGERPRINTS = 1 << 16
+FINISH_EDGES = 1 << 20
 
 
 def fingerprint(text: bytes, shingle: int) -> int:
@@ -223,12 +224,38 @@ def links(prints: DataFrame, max_distance: int, limit: int = BLOCK_FINGERPRINTS)
     return near.distinct()
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, root) of every node of the edges; root is the smallest node connected to it.
+def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, root) of all edges of the task, by hooking larger roots on smaller ones."""
+    parts = [(column_of(x, "a").to_numpy(), column_of(x, "b").to_numpy()) for x in batches]
+    a = np.concatenate([x for x, _ in parts]) if parts else np.zeros(0, np.int64)
+    b = np.concatenate([x for _, x in parts]) if parts else np.zeros(0, np.int64)
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    one, other = at[: len(a)], at[len(a) :]
+    parent = np.arange(len(nodes))
+    while True:
+        low = np.minimum(parent[one], parent[other])
+        high = np.maximum(parent[one], parent[other])
+        open_ = low < high
+        if not open_.any():
+            break
+        np.minimum.at(parent, high[open_], low[open_])
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+    hung = parent != np.arange(len(nodes))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(nodes[hung]), pa.array(nodes[parent[hung]])], ["node", "root"]
+    )
+
+
+def components(
+    edges: DataFrame, a: str = "a", b: str = "b", finish: int = FINISH_EDGES
+) -> DataFrame:
+    """(node, root) of every node of the edges but the roots; root is the smallest node connected to it.
 
     Large star and small star in turn, each a join and an aggregate, until no edge
     changes; then every node hangs on its root.  Each round is written to the shared
-    folder.
+    folder.  Once at most ``finish`` edges are left, a bound that fits any task, one task
+    joins them; the result is the same.
     """
 
     def digest(df: DataFrame) -> tuple:
@@ -241,6 +268,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     now = stored(now, "edges")
     seen = digest(now)
     while seen[0]:
+        if seen[0] <= finish:
+            return now.coalesce(1).mapInArrow(_roots, "node long, root long")
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), "m")

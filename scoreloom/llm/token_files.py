@@ -13,101 +13,144 @@ whose rows are runs of documents in ascending order of their key:
     keys, sizes    key and number of ids of each document
     control, data  the two streams, each document from a control byte of its own
 
-Texts are cut at white space into pieces that the tokenizer treats on their own; each
-distinct piece of a slice goes through the tokenizers library once.
+Texts are cut at white space into pieces that the tokenizer treats on their own, and those
+into its words; the model of the tokenizers library encodes each distinct word of a worker
+once.  Texts with special tokens or unusual white space go through the library whole.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+import json
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from scoreloom.llm.common import column_of, slices
+from scoreloom.llm.common import column_of, per_process, slices
+from scoreloom.plans.durable import fresh_path
 
-KEPT_PIECES = 400_000
+KEPT_PIECES = 600_000
 BLOCK_IDS = 1 << 18
 SLICE = 4 << 20
-# White space other than one space or line end between two other characters.
-IRREGULAR = re.compile(r"[^\S \n]|[ \n][ \n]|\A[ \n]|[ \n]\Z")
+# The pre-tokenizer this module can stand in for, and its pattern.
+PRE_TOKENIZER = {
+    "type": "ByteLevel",
+    "add_prefix_space": False,
+    "trim_offsets": True,
+    "use_regex": True,
+}
+WORD = regex.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
 
 BLOCKS = "part int, before long, keys array<long>, sizes array<long>, control binary, data binary"
 CODED = "part int, key long, tie long, size long, control binary, data binary"
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level tokenizers write for each byte: itself where it prints."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class PieceEncoder:
     """Ids of texts by a byte-level tokenizer; equal to encoding each text as a whole."""
 
     def __init__(self, file: str, kept: int = KEPT_PIECES):
+        with open(file, encoding="utf-8") as f:
+            given = json.load(f)
+        if given["pre_tokenizer"] != PRE_TOKENIZER or given["normalizer"]:
+            raise ValueError(f"{file} is not a plain byte-level tokenizer")
         self.library = Tokenizer.from_file(file)
         self.library.no_padding()
         self.library.no_truncation()
+        self.model = self.library.model
+        self.bytes_of = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
+        self.special = [t["content"] for t in given["added_tokens"]]
+        self.letters = {chr(b): c for b, c in byte_letters().items()}
+        self.table = str.maketrans(self.letters)
         self.kept = kept
-        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        # Pieces at the start of a line, and those with a space before them.
+        self.first: dict[str, bytes] = {}
+        self.later: dict[str, bytes] = {}
+        self.line_end = self._whole("\n")
 
-    def pieces(self, text: str) -> list[str]:
-        """Words with the space before them, and line ends.
+    def _whole(self, text: str) -> bytes:
+        ids = self.library.encode(text, add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes()
 
-        The tokenizer's pattern never joins a single space or line end between other characters
-        to what stands before it.  A text with other white space is one piece.
+    def lines(self, text: str) -> list[list[str]] | None:
+        """The words of each line; None if there is other white space than single spaces and
+        line ends between words, or a special token.
+
+        The tokenizer's pattern never joins such a space or line end to what stands before it.
         """
-        if not text:
-            return []
-        if IRREGULAR.search(text):
-            return [text]
-        found = []
-        for line in text.split("\n"):
-            words = line.split(" ")
-            found.append(words[0])
-            found += [" " + w for w in words[1:]]
-            found.append("\n")
-        found.pop()
-        return found
-
-    def learn(self, pieces: set[str]) -> None:
-        new = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(new) > self.kept:
-            self.known.clear()
+        if " ".join(text.split()) != text.replace("\n", " ") or not text:
+            return None
+        if any(s in text for s in self.special):
+            return None
+        return [line.split(" ") for line in text.split("\n")]
+
+    def _learn(self, pieces: set[str], known: dict[str, bytes], before: str) -> None:
+        """Cut the new pieces into the tokenizer's words, and encode each new word once."""
+        new = [p for p in pieces if p not in known]
+        if len(known) + len(new) > self.kept:
+            known.clear()
             new = list(pieces)
-        short = [p for p in new if len(p) < 1000]
-        for start in range(0, len(short), 20_000):
-            some = short[start : start + 20_000]
-            found = self.library.encode(some, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(found.ids, "<u4")
-            words = np.array(found.word_ids, np.int64)
-            ends = np.searchsorted(words, np.arange(len(some) + 1))
-            for i, piece in enumerate(some):
-                self.known[piece] = ids[ends[i] : ends[i + 1]].tobytes()
         for piece in new:
-            if len(piece) >= 1000:
-                own = self.library.encode(piece, add_special_tokens=False).ids
-                self.known[piece] = np.array(own, "<u4").tobytes()
+            # Mostly a word of letters, or one with a sign after it.
+            if piece.isalpha():
+                known[piece] = self._word(before + piece)
+            elif piece[:-1].isalpha() and piece[-1] in ".,;:!?":
+                head = known.get(piece[:-1]) or self._word(before + piece[:-1])
+                known[piece] = head + self._kept_word(piece[-1])
+            else:
+                parts = map(self._kept_word, WORD.findall(before + piece))
+                known[piece] = b"".join(parts)
+
+    def _kept_word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            if len(self.words) > self.kept:
+                self.words.clear()
+            ids = self.words[word] = self._word(word)
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        letters = word.encode().decode("latin-1").translate(self.table)
+        bytes_of = self.bytes_of
+        return b"".join([bytes_of[t.id] for t in self.model.tokenize(letters)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        cut = [self.pieces(t) for t in texts]
-        self.learn({p for found in cut for p in found})
-        known = self.known
-        return [b"".join([known[p] for p in found]) for found in cut]
-
-    def counts(self, texts: list[str]) -> Counter:
-        """How often each id occurs in the texts."""
-        pieces: Counter = Counter()
-        for text in texts:
-            pieces.update(self.pieces(text))
-        self.learn(set(pieces))
-        total = np.zeros(self.library.get_vocab_size(), np.int64)
-        ids = np.frombuffer(b"".join([self.known[p] for p in pieces]), "<u4")
-        sizes = np.array([len(self.known[p]) // 4 for p in pieces], np.int64)
-        times = np.repeat(np.fromiter(pieces.values(), np.int64, len(pieces)), sizes)
-        np.add.at(total, ids, times)
-        return total
+        cut = [self.lines(t) for t in texts]
+        firsts: set[str] = set()
+        later: set[str] = set()
+        for lines in cut:
+            for line in lines or ():
+                firsts.add(line[0])
+                later.update(line[1:])
+        self._learn(firsts, self.first, "")
+        self._learn(later, self.later, " ")
+        first, known, out = self.first, self.later, []
+        for text, lines in zip(texts, cut, strict=True):
+            if lines is None:
+                out.append(self._whole(text) if text else b"")
+                continue
+            parts = []
+            for line in lines:
+                parts.append(first[line[0]])
+                parts += [known[w] for w in line[1:]]
+                parts.append(self.line_end)
+            parts.pop()
+            out.append(b"".join(parts))
+        return out
 
 
 # --- the code ---------------------------------------------------------------------------------
@@ -148,25 +191,50 @@ def unpack(sizes: np.ndarray, control: bytes, data: bytes) -> np.ndarray:
 # --- files ------------------------------------------------------------------------------------
 
 
-def count_ids(documents: DataFrame, file: str, end_id: int, text: str = "text") -> DataFrame:
-    """(id, n) of every id of the texts, with one end id for each document."""
+def encode_rows(documents: DataFrame, file: str, end_id: int, key: str, text: str) -> DataFrame:
+    """(key, tie, ids) of each document: its ids with the end id, as unsigned 16-bit integers if
+    all fit, else 32-bit; tie is a hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, total, documents_seen = PieceEncoder(file), None, 0
-        for part in slices(batches, text, SLICE):
-            texts = [t or "" for t in column_of(part, text).to_pylist()]
-            counts = encoder.counts(texts)
-            total = counts if total is None else total + counts
-            documents_seen += len(texts)
-        if total is not None:
-            total = np.r_[total, np.zeros(max(0, end_id + 1 - len(total)), np.int64)]
-            total[end_id] += documents_seen
-            ids = np.flatnonzero(total)
+        encoder = per_process(("byte pieces", file), lambda: PieceEncoder(file))
+        end = np.array([end_id], "<u4").tobytes()
+        kind = "<u2" if _short(encoder.library.get_vocab_size(), end_id) else "<u4"
+        for part in slices(batches, "text", SLICE):
+            texts = [t or "" for t in column_of(part, "text").to_pylist()]
+            ids = [
+                np.frombuffer(x + end, "<u4").astype(kind).tobytes() for x in encoder.encode(texts)
+            ]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids.astype(np.int64)), pa.array(total[ids])], ["id", "n"]
+                [column_of(part, "key"), column_of(part, "tie"), pa.array(ids, pa.binary())],
+                ["key", "tie", "ids"],
             )
 
-    counted = documents.select(f"`{text}`").mapInArrow(run, "id long, n long")
+    given = documents.select(
+        F.col(f"`{key}`").cast("long").alias("key"),
+        F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("tie"),
+        F.col(f"`{text}`").alias("text"),
+    )
+    return given.mapInArrow(run, "key long, tie long, ids binary")
+
+
+def _short(vocabulary: int, end_id: int) -> bool:
+    return max(vocabulary, end_id + 1) <= 1 << 16
+
+
+def count_ids(encoded: DataFrame, kind: str) -> DataFrame:
+    """(id, n): how often each id occurs in the rows of ``encode_rows``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for part in slices(batches, "ids", SLICE):
+            ids = np.frombuffer(b"".join(column_of(part, "ids").to_pylist()), kind)
+            counts = np.bincount(ids, minlength=len(total))
+            counts[: len(total)] += total
+            total = counts
+        ids = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "n"])
+
+    counted = encoded.select("ids").mapInArrow(run, "id long, n long")
     return counted.groupBy("id").agg(F.sum("n").alias("n"))
 
 
@@ -185,13 +253,20 @@ def write_token_files(
     key first, rows of one key by a hash of their text; repeated rows are all written.  An
     empty table gives files without rows.  ``file`` is the tokenizer's, at the same path on
     every machine.  ``parts`` ranges of the key, by quantiles, are what tasks work on.
+
+    Texts are encoded once: the ids are kept in the shared folder until all are counted.
     """
     spark = documents.sparkSession
-    ranked = count_ids(documents, file, end_id, text)
+    held = fresh_path(spark, "ids")
+    encoded = encode_rows(documents, file, end_id, key, text)
+    encoded.write.option("compression", "zstd").parquet(held)
+    encoded = spark.read.schema(encoded.schema).parquet(held)
+    vocabulary = Tokenizer.from_file(file).get_vocab_size()
+    kind = "<u2" if _short(vocabulary, end_id) else "<u4"
+
     # As many rows as the vocabulary has at most.
-    counts = sorted(ranked.collect(), key=lambda r: (-r["n"], r["id"]))
-    size = max([end_id, *(r["id"] for r in counts)]) + 1
-    rank_of = np.zeros(size, np.uint32)
+    counts = sorted(count_ids(encoded, kind).collect(), key=lambda r: (-r["n"], r["id"]))
+    rank_of = np.zeros(max([end_id, *(r["id"] for r in counts)]) + 1, np.uint32)
     for rank, row in enumerate(counts):
         rank_of[row["id"]] = rank
     rows = [(rank, r["id"], r["n"]) for rank, r in enumerate(counts)]
@@ -201,48 +276,32 @@ def write_token_files(
 
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = [i / parts for i in range(1, parts)]
-    found = None
-    if cuts:
-        found = documents.agg(F.percentile_approx(f"`{key}`", cuts, 10 * parts)).first()[0]
-    bounds = np.array(found or [], np.int64)
-    shared = spark.sparkContext.broadcast((rank_of, bounds))
+    found = encoded.agg(F.percentile_approx("key", cuts, 10 * parts)).first()[0] if cuts else None
+    shared = spark.sparkContext.broadcast((rank_of, np.array(found or [], np.int64)))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, edges = shared.value
-        encoder, end = PieceEncoder(file), np.array([end_id], "<u4").tobytes()
-        for part in slices(batches, "text", SLICE):
+        for part in slices(batches, "ids", SLICE):
             keys, ties = column_of(part, "key"), column_of(part, "tie").to_numpy()
             values = keys.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
             # A key that holds several parts is spread over them by the hash of the text.
             low, high = np.searchsorted(edges, values), np.searchsorted(edges, values, "right")
             places = low + (ties.view(np.uint64) % (high - low + 1).astype(np.uint64)).astype(int)
-            texts = [t or "" for t in column_of(part, "text").to_pylist()]
-            sizes, control, data = [], [], []
-            for ids in encoder.encode(texts):
-                own = ranks[np.frombuffer(ids + end, "<u4")]
-                sizes.append(len(own))
-                c, d = pack(own)
-                control.append(c)
-                data.append(d)
+            own = [ranks[np.frombuffer(x, kind)] for x in column_of(part, "ids").to_pylist()]
+            control, data = zip(*map(pack, own), strict=True)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(places.astype(np.int32)),
                     keys,
                     pa.array(ties),
-                    pa.array(sizes, pa.int64()),
+                    pa.array([len(x) for x in own], pa.int64()),
                     pa.array(control, pa.binary()),
                     pa.array(data, pa.binary()),
                 ],
                 ["part", "key", "tie", "size", "control", "data"],
             )
 
-    given = documents.select(
-        F.col(f"`{key}`").cast("long").alias("key"),
-        F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("tie"),
-        F.col(f"`{text}`").alias("text"),
-    )
-    coded = given.mapInArrow(code, CODED)
-    ordered = coded.repartition("part").sortWithinPartitions(
+    ordered = encoded.mapInArrow(code, CODED).repartition("part").sortWithinPartitions(
         "part", F.col("key").asc_nulls_first(), "tie"
     )
     blocks = ordered.mapInArrow(_blocks, BLOCKS)
