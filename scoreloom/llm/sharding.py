@@ -72,15 +72,20 @@ class Permutation:
     def longest_walk(self, spark: SparkSession, forward: bool = True) -> int:
         """Passes through the network after which every number is inside.
 
-        A walk can only go on from one of the spare cells, fewer than the square root
-        of ``size``, so these alone are followed until all have come in.
+        A walk can only go on from one of the spare cells, fewer than the square root of
+        ``size``, so these alone are followed.  Spare cells that map among themselves in a
+        circle never come in, and no walk from inside meets them: once a pass brings no further
+        cell in, only those are left.
         """
         wide, high = self.sides
         outside = spark.range(self.size, wide * high).withColumnRenamed("id", "at")
-        passes = 1
-        while not outside.isEmpty():
+        passes, left = 1, wide * high - self.size
+        while left:
             outside = outside.select(self._network(F.col("at"), forward).alias("at"))
             outside = outside.filter(F.col("at") >= self.size)
+            before, left = left, outside.count()
+            if left == before:
+                break
             passes += 1
         return passes
 
