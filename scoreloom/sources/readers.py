@@ -49,16 +49,17 @@ def parse_labelled_lines(lines: DataFrame, line: str = "value") -> DataFrame:
 def read_labelled_corpus(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """Labelled documents, one per line.
 
-    In strict mode a line without a tab fails the query that reads it; otherwise
+    In strict mode a line without a tab fails any query over the lines; otherwise
     such lines are left out here and found by :func:`rejected_corpus_lines`.
     """
     parsed = parse_labelled_lines(spark.read.text(path))
     if not strict:
         return parsed.filter("well_formed").select("label", "text")
-    checked = F.when(F.col("well_formed"), F.col("text")).otherwise(
+    # A filter, since the error would go with a column that a query does not read.
+    checked = F.when(F.col("well_formed"), F.lit(True)).otherwise(
         F.raise_error(F.concat(F.lit("corpus line without a tab: "), F.col("label")))
     )
-    return parsed.select("label", checked.alias("text"))
+    return parsed.filter(checked).select("label", "text")
 
 
 def rejected_corpus_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -70,7 +71,8 @@ def rejected_corpus_lines(spark: SparkSession, path: str) -> DataFrame:
 def read_labelled_tweets(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Tab-separated ``id, category, text``; the first line of each file is dropped.
 
-    A quoted field may hold tabs, doubled quotes and line ends.  Line ends inside
+    A row with fewer or more fields fails the query that reads all of them.  A quoted
+    field may hold tabs, doubled quotes and line ends.  Line ends inside
     quotes keep a file from being split, so large inputs should come as many
     files, or with ``multi_line=False`` if no field holds a line end.
     """
@@ -81,6 +83,7 @@ def read_labelled_tweets(spark: SparkSession, path: str, multi_line: bool = True
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multi_line)
+        .option("mode", "FAILFAST")
         .csv(path)
     )
 

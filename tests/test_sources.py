@@ -82,3 +82,21 @@ def test_results_are_replaced_not_doubled(spark, tmp_path):
     rows = readers.read_experiment_results(spark, path).collect()
     got = {(r["system"], r["split"]): r["p-pos"] for r in rows}
     assert len(rows) == 2 and got == {("baseline", "train"): 0.1, ("baseline", "dev"): 0.2}
+
+
+def test_strict_corpus_fails_whatever_is_read(spark, tmp_path):
+    from pyspark.errors import PySparkException
+
+    (tmp_path / "corpus.tsv").write_text("en\tone\nno tab here\nfr\tdeux\n")
+    strict = readers.read_labelled_corpus(spark, str(tmp_path / "corpus.tsv"))
+    for query in (strict.count, strict.groupBy("label").count().collect, strict.collect):
+        with pytest.raises(PySparkException):
+            query()
+
+
+@pytest.mark.parametrize("line", ["1\tpositive", "1\tpositive\tgood\tmore"])
+def test_tweets_of_another_width_fail(spark, tmp_path, line):
+    (tmp_path / "tweets.tsv").write_text(f"id\tcategory\ttext\n{line}\n")
+    tweets = readers.read_labelled_tweets(spark, str(tmp_path / "tweets.tsv"))
+    with pytest.raises(Exception, match="FAILED_READ_FILE|MALFORMED"):
+        tweets.collect()
