@@ -27,7 +27,7 @@ from tokenizers import Tokenizer
 
 from scoreloom.llm.common import column_of, per_process, slices
 
-KEPT_PIECES = 300_000
+KEPT_PIECES = 800_000
 # White space as the tokenizer's pattern has it; str.split() also cuts at four control characters.
 SPACE = regex.compile(r"[\t-\r \x85\p{Z}]+")
 CONTROLS = regex.compile("[\x1c-\x1f]")
