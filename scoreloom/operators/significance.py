@@ -89,50 +89,48 @@ def significance_verdict(tests: DataFrame, alpha: float = ALPHA) -> DataFrame:
 
 
 def best_vs_second(evaluation: DataFrame, alpha: float = ALPHA) -> DataFrame:
-    """Per metric: best and second system by reported mean, and the test between them.
+    """Per metric: the best system by reported mean, each runner-up, and the test between them.
 
-    Equal means are flagged as a tie; the lower system number is then named first.
-    Only the scores of the two systems are compared, not all pairs.
+    Of several systems at the first place the lowest number is named best, and all
+    others are runners-up of a tie.  If the first place is held alone, every system at
+    the second is a runner-up.  There is one row per runner-up, none for a lone system,
+    and the best system is compared with them only, not all pairs.
     """
     long = evaluation.unpivot(
         ["system_number", "query_number"], list(METRICS), "metric", "score"
     )
-    by_mean = Window.partitionBy("metric").orderBy(F.desc("score"), F.asc("system_number"))
+    by_mean = Window.partitionBy("metric").orderBy(F.desc("score"))
+    by_name = Window.partitionBy("metric").orderBy(F.desc("score"), F.asc("system_number"))
     leaders = (
         long.filter(F.col("query_number") == "mean")
-        .withColumn("_nth", F.row_number().over(by_mean))
-        .filter(F.col("_nth") <= 2)
-        .groupBy("metric")
-        .agg(
-            *[
-                F.max(F.when(F.col("_nth") == nth, F.col(column))).alias(f"{name}_{column}")
-                for nth, name in ((1, "best"), (2, "second"))
-                for column in ("system_number", "score")
-            ]
+        .select(
+            "metric",
+            F.first("system_number").over(by_name).alias("best"),
+            F.col("system_number").alias("second"),
+            F.first("score").over(by_name).alias("best_mean"),
+            F.col("score").alias("second_mean"),
+            F.rank().over(by_mean).alias("_place"),
+            F.row_number().over(by_name).alias("_nth"),
         )
-        .withColumnsRenamed({
-            "best_system_number": "best", "second_system_number": "second",
-            "best_score": "best_mean", "second_score": "second_mean",
-        })
+        .filter("_place <= 2 AND _nth > 1")
+        .drop("_place", "_nth")
     )
-    scores = _query_rows(long).join(F.broadcast(leaders), "metric")  # one row per metric
+    scores = _query_rows(long)
+    seconds = scores.withColumnsRenamed({"system_number": "second", "score": "s"}).join(
+        leaders.select("metric", "best", "second"), ["metric", "second"]
+    )
+    firsts = scores.withColumnsRenamed({"system_number": "best", "score": "b"})
     paired = (
-        scores.groupBy("metric", "query_number")
-        .agg(
-            F.max(F.when(F.col("system_number") == F.col("best"), F.col("score"))).alias("b"),
-            F.max(F.when(F.col("system_number") == F.col("second"), F.col("score"))).alias("s"),
-        )
+        seconds.join(firsts, ["metric", "best", "query_number"])
         .filter("b IS NOT NULL AND s IS NOT NULL")
         .withColumn("diff", F.round(F.col("b") - F.col("s"), _DIFF_DIGITS))
     )
-    stats = paired.groupBy("metric").agg(
+    stats = paired.groupBy("metric", "best", "second").agg(
         F.count(F.lit(1)).alias("n"),
         F.round(F.avg("diff"), _MEAN_DIGITS).alias("mean_diff"),
         F.var_samp("diff").alias("var_diff"),
     )
     tested = significance_verdict(_test(stats), alpha).drop("direction")
-    return (
-        F.broadcast(leaders)
-        .withColumn("tie", F.col("best_mean") == F.col("second_mean"))
-        .join(tested, "metric", "left")
+    return leaders.withColumn("tie", F.col("best_mean") == F.col("second_mean")).join(
+        tested, ["metric", "best", "second"], "left"
     )

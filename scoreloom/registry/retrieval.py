@@ -288,14 +288,16 @@ def significance_verdict(spark, sf_dir):
              INTO NAME metric VALUE score),
            ranked AS (
              SELECT *, row_number() OVER (PARTITION BY metric
-                                          ORDER BY score DESC, system_number) AS nth FROM means)""",
+                                          ORDER BY score DESC, system_number) AS nth,
+                       rank() OVER (PARTITION BY metric ORDER BY score DESC) AS place
+             FROM means)""",
         select="""
 SELECT b.metric, b.system_number AS best, s.system_number AS second, b.score AS best_mean,
        s.score AS second_mean, b.score = s.score AS tie, t.n,
        round(abs(t.t_stat) * sign(CASE WHEN b.system_number < s.system_number
                                        THEN t.mean_diff ELSE -t.mean_diff END), 6) AS t_stat,
        round(t.p_value, 6) AS p_value, coalesce(t.p_value < 0.05, false) AS significant
-FROM ranked b JOIN ranked s ON b.metric = s.metric AND b.nth = 1 AND s.nth = 2
+FROM ranked b JOIN ranked s ON b.metric = s.metric AND b.nth = 1 AND s.nth > 1 AND s.place <= 2
 JOIN tests t ON t.metric = b.metric
  AND t.system_i = least(b.system_number, s.system_number)
  AND t.system_j = greatest(b.system_number, s.system_number)""",

@@ -76,13 +76,31 @@ def test_no_difference_and_constant_difference(spark):
 
 
 def test_best_vs_second(spark):
-    rows = {r["metric"]: r for r in significance.best_vs_second(table(spark)).collect()}
+    rows = {}
+    for row in significance.best_vs_second(table(spark)).orderBy("second").collect():
+        rows.setdefault(row["metric"], []).append(row)
     assert len(rows) == 6
-    ap = rows["AP"]
+    (ap,) = rows["AP"]
     assert (ap["best"], ap["second"], ap["tie"], ap["significant"]) == (3, 6, False, False)
     assert ap["t_stat"] == pytest.approx(0.4323, abs=5e-5)
-    tie = rows["P@10"]
-    assert (tie["best"], tie["second"], tie["tie"], tie["t_stat"]) == (3, 5, True, None)
+    ties = [(r["best"], r["second"], r["tie"]) for r in rows["P@10"]]
+    assert ties == [(3, 5, True), (3, 6, True)]
+    assert rows["P@10"][0]["t_stat"] is None
+
+
+def test_tied_runners_up(spark):
+    means = [("1", 0.9), ("2", 0.5), ("3", 0.5), ("4", 0.1)]
+    frame = table(spark)
+    rows = [
+        (int(system), query, *[value + step] * 6)
+        for system, value in means
+        for query, step in (("1", 0.01), ("2", -0.01), ("mean", 0.0))
+    ]
+    tied = spark.createDataFrame(rows, frame.schema)
+    got = {(r["best"], r["second"], r["tie"], r["n"])
+           for r in significance.best_vs_second(tied).collect()}
+    assert got == {(1, 2, False, 2), (1, 3, False, 2)}
+    assert significance.best_vs_second(tied.filter("system_number = 1")).isEmpty()
 
 
 @pytest.mark.parametrize(
