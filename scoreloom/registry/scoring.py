@@ -114,11 +114,12 @@ def macro_prf(spark, sf_dir):
     "confusion_matrix",
     with_ctes(
         PREDICTIONS_SQL,
-        select="""SELECT system, split, y_true,
-                         count(*) FILTER (y_pred = 'positive') AS positive,
-                         count(*) FILTER (y_pred = 'negative') AS negative,
-                         count(*) FILTER (y_pred = 'neutral') AS neutral
-                  FROM predictions GROUP BY system, split, y_true""",
+        select="""SELECT system, split, c AS y_true,
+                         count(*) FILTER (y_true = c AND y_pred = 'positive') AS positive,
+                         count(*) FILTER (y_true = c AND y_pred = 'negative') AS negative,
+                         count(*) FILTER (y_true = c AND y_pred = 'neutral') AS neutral
+                  FROM predictions, unnest(list_distinct([y_true, y_pred])) u(c)
+                  GROUP BY system, split, c""",
     ),
 )
 def confusion_matrix(spark, sf_dir):
