@@ -114,9 +114,12 @@ def _key_counts(parsed: DataFrame, contract: Contract) -> DataFrame:
 
 
 def check_header(headers: DataFrame, contract: Contract, line: str = "value") -> DataFrame:
-    """Header lines that differ from the column names in their order."""
+    """Header lines that differ from the column names in their order; an empty key if none is there."""
     wrong = headers.filter(strip_ends(F.col(line)) != contract.header)
-    return _violation(wrong, "header", F.col(line), F.lit(contract.header))
+    none = headers.agg(F.count(F.lit(1)).alias("_n")).filter("_n = 0")
+    return _violation(wrong, "header", F.col(line), F.lit(contract.header)).unionByName(
+        _violation(none, "header", F.lit(""), F.lit(contract.header))
+    )
 
 
 def check_column_count(parsed: DataFrame, contract: Contract) -> DataFrame:

@@ -34,7 +34,9 @@ _SYSTEMS = ", ".join(f"'{s}'" for s in CONTRACT.domains["system_number"])
 CHECKS_SQL = {
     "check_header": f"""
         SELECT 'header' AS rule, line AS key, '{CONTRACT.header}' AS detail
-        FROM headers WHERE line <> '{CONTRACT.header}'""",
+        FROM headers WHERE line <> '{CONTRACT.header}'
+        UNION ALL
+        SELECT 'header', '', '{CONTRACT.header}' FROM headers HAVING count(*) = 0""",
     "check_column_count": """
         SELECT 'column_count' AS rule, line AS key, len(f)::VARCHAR AS detail
         FROM parsed WHERE len(f) <> 8""",
