@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scoreloom.operators.terms import MAX_TERMS, TermModel, fit_terms
+from scoreloom.operators.terms import TermModel, fit_terms
 from scoreloom.plans.ordering import MAX_GROUP_ROWS, place_in_group
 from scoreloom.plans.spreading import spread
 from scoreloom.plans.unfolding import unfold
@@ -20,8 +20,8 @@ TOPICS = 20
 PASSES = 10
 SEED = 42
 MIN_PROBABILITY = 0.01
-# Documents per model update in a corpus of ordinary size.
-CHUNK = 2000
+# Share of the documents each update of the model sees.
+RATE = 0.1
 ROWS_PER_TASK = 250
 
 
@@ -55,25 +55,25 @@ def fit_topics(
     k: int = TOPICS,
     passes: int = PASSES,
     seed: int = SEED,
-    max_terms: int = MAX_TERMS,
+    rate: float = RATE,
+    slots: int | None = None,
 ) -> TopicModel:
     """Online LDA over all corpora as one.
 
-    An update sees a sample of the documents, a chunk of ordinary size or one
-    twentieth of a large corpus, and there are as many updates as fill the passes.
+    An update sees the share ``rate`` of the documents, whatever their number, and
+    there are as many updates as fill the passes.  ``slots`` folds the vocabulary.
     """
     docs = docs.select(F.col("tokens").alias("terms"))
-    terms = fit_terms(docs, max_terms)
+    terms = fit_terms(docs, slots)
     n_docs = docs.count()
     counts = spread(terms.transform(docs).select("features"), n_docs, ROWS_PER_TASK).persist()
     try:
-        sample = min(1.0, max(0.05, CHUNK / max(1, n_docs)))
         lda = LDA(
             k=k,
             optimizer="online",
             seed=seed,
-            subsamplingRate=sample,
-            maxIter=math.ceil(passes / sample),
+            subsamplingRate=rate,
+            maxIter=math.ceil(passes / rate),
         )
         return TopicModel(terms, lda.fit(counts))
     finally:

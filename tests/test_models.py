@@ -52,9 +52,16 @@ def test_vocabulary_and_bags(spark):
     assert bags == {(1, "a"): 1, (1, "b"): 2, (2, "b"): 1}
 
 
-def test_a_vocabulary_above_the_bound_is_folded_not_cut(docs):
+def test_the_vocabulary_is_exact_up_to_its_bound(docs):
     terms = docs.select("doc_id", F.col("tokens").alias("terms"))
-    model = fit_terms(terms, max_terms=5)
+    assert len(fit_terms(terms, max_terms=15).vocabulary) == 15
+    with pytest.raises(ValueError, match="15 distinct terms"):
+        fit_terms(terms, max_terms=14)
+
+
+def test_asked_slots_fold_and_do_not_cut(docs):
+    terms = docs.select("doc_id", F.col("tokens").alias("terms"))
+    model = fit_terms(terms, slots=5)
     assert model.slots == 5 and len(model.vocabulary) <= 5
     counted = model.transform(terms)
     total = counted.select(
