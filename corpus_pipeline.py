@@ -21,8 +21,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop what fails the base rules or is probably bad; the rules are weighed on all of ``docs``."""
-    counts = stored(quality.with_counts(docs.select("text")).drop("text"), "counts")
-    return quality.keep_good(docs, quality.learn_rules(counts))
+    return quality.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

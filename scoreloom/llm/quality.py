@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scoreloom.llm.common import bind
+from scoreloom.llm.common import bind, stored
 
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -287,14 +287,21 @@ def judge(
 
 def keep_good(
     documents: DataFrame,
-    model: VoteModel,
+    model: VoteModel | None = None,
     text: str = "text",
     rules: Sequence[Rule] = RULES,
     threshold: float = 0.5,
 ) -> DataFrame:
-    """The documents that are kept, with their columns; the counts are made in the same pass."""
+    """The documents that are kept, with their columns; without a model it is fitted on them.
+
+    The texts are counted once: rows and counts are written to the shared folder, the model
+    is fitted on the counts and the rows are chosen by them.  A filter on counts still to be
+    made would be given copies of their expressions, one for every mention.
+    """
     names = documents.columns
     row = documents.select(F.struct(*(f"`{c}`" for c in names)).alias("_row"))
     counted = with_counts(row.withColumn("_text", F.col(f"_row.`{text}`")), "_text")
+    counted = stored(counted.drop("_text"), "counted")
+    model = model or learn_rules(counted, rules)
     kept = judge(counted, model, rules, threshold).filter("kept")
     return kept.select(*(F.col(f"_row.`{c}`").alias(c) for c in names))
