@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,9 @@ from pyspark.sql.types import ArrayType, StringType
 # The executors need not have this package: its functions travel with the plan.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Words whose stems a worker remembers between batches.
+MOST_KNOWN = 1 << 18
+
 # Words whose stem the rules would miss.
 IRREGULAR = {
     "sky": "sky", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie",
@@ -155,12 +159,31 @@ def porter_stem(word: str) -> str:
     return word
 
 
+def _known_stems() -> dict[str, str]:
+    """Stems this Python worker has made, kept over its tasks and emptied when full.
+
+    The functions are unpickled for every task, so their own globals don't last.
+    """
+    home = sys.modules.setdefault("_scoreloom_stems", ModuleType("_scoreloom_stems")).__dict__
+    known = home.setdefault("known", {})
+    if len(known) > MOST_KNOWN:
+        known.clear()
+    return known
+
+
 def _stem_values(words: pa.Array) -> pa.Array:
-    """Stem each distinct word of a batch once and look the others up."""
+    """Stem each distinct word of a batch, unless the worker knows it, and look the others up."""
+    known = _known_stems()
+
+    def stem(word: str | None) -> str | None:
+        if word not in known:
+            known[word] = porter_stem(word)
+        return known[word]
+
     coded = words.dictionary_encode()
     if isinstance(coded, pa.ChunkedArray):
         coded = coded.combine_chunks()
-    stems = pa.array([porter_stem(word) for word in coded.dictionary.to_pylist()], pa.string())
+    stems = pa.array([stem(word) for word in coded.dictionary.to_pylist()], pa.string())
     return stems.take(coded.indices)
 
 
