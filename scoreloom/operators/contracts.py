@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreloom.functions.text import strip_ends
@@ -170,6 +170,27 @@ def check_all(headers: DataFrame, lines: DataFrame, contract: Contract) -> DataF
     return reduce(DataFrame.unionByName, found)
 
 
+def check_file(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
+    """All violations of the file at ``path``: its first line is the header, an empty file has none.
+
+    ``path`` is one file; it may be of any size and is read in parts.
+    """
+    rows = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_at"),
+    )
+    header = (
+        rows.filter("_start = 0")
+        .agg(F.min(F.struct("_at", "value")).alias("_first"))
+        .filter("_first IS NOT NULL")
+        .select("_first.*")
+    )
+    # The header is one row.
+    lines = rows.join(F.broadcast(header.select("_at")), "_at", "left_anti")
+    return check_all(header.select("value"), lines.select("value"), contract)
+
+
 def contract_verdict(violations: DataFrame) -> DataFrame:
     """Number of violations; the file is valid if there is none."""
     return violations.agg(F.count(F.lit(1)).alias("violations")).withColumn(

@@ -72,3 +72,27 @@ def test_numbers_as_python_reads_them(spark):
     assert violations(spark, "evaluation", lines) == []
     lines[0] = "1,1,1d,0x1,,1e,in,_1"
     assert len(violations(spark, "evaluation", lines)) == 6
+
+
+def test_file_by_path(spark, tmp_path):
+    contract = ops.EVALUATION_CONTRACT
+    path = tmp_path / "ir_eval.csv"
+
+    def found(content):
+        path.write_text(content)
+        rows = ops.check_file(spark, str(path), contract).collect()
+        return sorted((r["rule"], r["key"], r["detail"]) for r in rows)
+
+    lines = good_lines("evaluation")
+    assert found("\n".join([contract.header, *lines]) + "\n") == []
+    # Read in parts, the header is still the first line of the file.
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        assert found("\n".join([contract.header, *lines])) == []
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found("\n".join(lines)) == [
+        ("complete", lines[0].split(",0.5")[0], "missing"), ("header", lines[0], contract.header)
+    ]
+    assert [r for r in found("") if r[0] == "header"] == [("header", "", contract.header)]
+    assert found("\n".join([contract.header, *lines, "", "x"]))[-1][0] == "column_count"
