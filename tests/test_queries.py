@@ -23,14 +23,13 @@ def db():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_agrees_with_sql(spark, db, name):
-    problem = oracle.compare(spark, db, FOLDER, QUERIES[name], ORACLES[name])
-    assert problem in (None, "no rows")
+    assert oracle.compare(spark, db, FOLDER, QUERIES[name], ORACLES[name]) is None
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_runs(spark, name):
     frame = QUERIES[name](spark, FOLDER)
-    assert frame.columns and len(frame.collect()) >= (name != "shared_topics")
+    assert frame.columns and frame.collect()
 
 
 def test_entry(spark):
