@@ -299,7 +299,17 @@ def near_duplicates(
     without words (null, empty, white space) have fingerprint zero and are near each other.
     Repeated rows stay repeated.  An empty table gives an empty result.
     """
-    printed = documents.drop("component_id")
+    return classified(documents, shingle, max_distance, key).drop("root")
+
+
+def classified(
+    documents: DataFrame, shingle: int = 4, max_distance: int = 4, key: str = "doc_id"
+) -> DataFrame:
+    """As near_duplicates, with ``root``, the fingerprint that stands for the component.
+
+    Components of unlike texts can share a component_id (null, or a repeated key), but not a root.
+    """
+    printed = documents.drop("component_id", "root")
     printed = stored(with_fingerprint(printed, shingle), "fingerprints")
     first = printed.groupBy("fingerprint").agg(F.min(f"`{key}`").alias("_first"))
     first = stored(first, "distinct")
@@ -309,7 +319,7 @@ def near_duplicates(
         "root", F.coalesce("root", "fingerprint")
     )
     smallest = classed.groupBy("root").agg(F.min("_first").alias("component_id"))
-    classes = classed.join(smallest, "root").select("fingerprint", "component_id")
+    classes = classed.join(smallest, "root").select("fingerprint", "root", "component_id")
     return printed.join(classes, "fingerprint")
 
 
@@ -327,10 +337,10 @@ def drop_near_duplicates(
     names = documents.columns
     text_hash = F.xxhash64(F.col("text"))
     keyed = documents.select(F.col(f"`{key}`").alias("_key"), text_hash.alias("_hash"), "text")
-    found = near_duplicates(keyed, shingle, max_distance, "_key").drop("fingerprint")
+    found = classified(keyed, shingle, max_distance, "_key").drop("fingerprint")
     found = found.withColumn("_null", F.col("_key").isNull())
     best = F.min(F.struct("_null", "_key", "_hash")).alias("_best")
-    chosen = found.groupBy("component_id").agg(best).select("_best._key", "_best._hash")
+    chosen = found.groupBy("root").agg(best).select("_best._key", "_best._hash")
     chosen = stored(chosen, "chosen")
     repeated = stored(
         found.groupBy("_key", "_hash").agg(F.count("*").alias("_n")).filter("_n > 1").drop("_n"),

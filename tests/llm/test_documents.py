@@ -232,6 +232,23 @@ def test_near_duplicates_against_brute_force(documents, rows):
     assert by_key(r["doc_id"] for r in kept.collect()) == by_key(set(of.values()))
 
 
+def test_one_document_of_each_component_stays(spark):
+    rng = random.Random(11)
+    unlike = [" ".join(f"w{rng.getrandbits(40)}" for _ in range(60)) for _ in range(12)]
+    rows = [(None, t) for t in unlike[:6]] + [(7, t) for t in unlike[6:10]]
+    rows += [(None, unlike[0]), (7, unlike[6]), (9, unlike[7]), (3, unlike[1]), (8, unlike[10])]
+    rows += [(1, None), (None, " "), (None, unlike[11]), (None, unlike[11])]
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    best: dict = {}
+    for i, t in rows:
+        group, own = fingerprint_by_brute_force(t), (i is None, i or 0, t or "")
+        best[group] = min(best.get(group, own), own)
+    assert len(set(classes({x: [x] for x in best}, 4).values())) == len(best) == 13
+    want = [(None if null else i, t) for null, i, t in best.values()]
+    kept = simhash.drop_near_duplicates(documents).collect()
+    assert by_key((r["doc_id"], r["text"] or "") for r in kept) == by_key(want)
+
+
 @pytest.mark.parametrize(("distance", "limit"), [(4, 1 << 16), (7, 3)])
 def test_links_join_what_is_near(spark, distance, limit):
     rng = random.Random(distance)
