@@ -1,8 +1,8 @@
 """Main text of web pages by removal of site templates.
 
 Every element is hashed with all that is in it.  Spark counts on how many pages of its
-host each subtree stands; those that recur on many of them are the site's template and
-are deleted.  What the markup itself calls a menu, footer, advert, form or the like goes
+host each subtree stands, pages of equal text as one; those that recur on many of them are
+the site's template and are deleted.  What the markup itself calls a menu, footer, advert, form or the like goes
 too, and the text of what is left is read block by block.
 
 Subtrees inside an article or main element, or around one, are not counted as template:
@@ -89,12 +89,14 @@ class Element:
 class Page:
     """Reads a page once: ``subtrees`` are hashes of possible template parts, ``text`` the rest.
 
-    ``gone`` says of a hash whether that subtree is to be deleted.
+    ``content`` hashes all texts of the page, dropped ones included, but no attributes: copies of
+    a page under several URLs, with other links or heads, have one.  ``gone`` says of a hash whether that subtree is to be deleted.
     """
 
     def __init__(self, html: str, gone=None):
         self.gone = gone or (lambda _: False)
         self.subtrees: set[int] = set()
+        self.content = xxhash.xxh64()
         self.out: list[str | None] = []  # texts, and None between blocks
         self.stack = [Element("", 0, False, False)]
         at = 0
@@ -119,10 +121,12 @@ class Page:
 
     def _text(self, raw: str) -> None:
         top = self.stack[-1]
-        if top.dropped:
-            return
         text = unescape(raw)
         clean = " ".join(text.split())
+        if clean:
+            self.content.update(clean.encode("utf-8", "replace") + b"\0")
+        if top.dropped:
+            return
         if clean:
             top.parts.append(b"t" + clean.encode("utf-8", "replace"))
             top.words = True
@@ -206,38 +210,54 @@ def host_of(url: Column) -> Column:
 
 
 def _combined(host: str, subtree: int) -> int:
-    own = xxhash.xxh64_intdigest(host.encode(), subtree)
-    return own - (1 << 64) if own >> 63 else own
+    return _signed(xxhash.xxh64_intdigest(host.encode(), subtree))
+
+
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
 
 
 def subtrees(pages: DataFrame) -> DataFrame:
-    """(page, host, subtree): every subtree of every page of ``page``, ``host``, ``html`` once."""
+    """(page, host, subtree, content): every subtree of every page of ``page``, ``host``, ``html``
+    once, with the hash of the page's texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "html"):
-            ids, hosts, found = [], [], []
+            ids, hosts, found, contents = [], [], [], []
             for page, host, html in zip(
                 *(column_of(part, c).to_pylist() for c in ("page", "host", "html")), strict=True
             ):
-                for value in Page(html or "").subtrees:
+                read = Page(html or "")
+                content = _signed(read.content.intdigest())
+                for value in read.subtrees:
                     ids.append(page)
                     hosts.append(host)
                     found.append(_combined(host, value))
+                    contents.append(content)
+            whole = pa.int64()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(hosts, pa.string()), pa.array(found, pa.int64())],
-                ["page", "host", "subtree"],
+                [
+                    pa.array(ids, whole),
+                    pa.array(hosts, pa.string()),
+                    pa.array(found, whole),
+                    pa.array(contents, whole),
+                ],
+                ["page", "host", "subtree", "content"],
             )
 
-    return pages.mapInArrow(run, "page long, host string, subtree long")
+    return pages.mapInArrow(run, "page long, host string, subtree long, content long")
 
 
 def templates(
-    pages: DataFrame, found: DataFrame, min_pages: int, min_share: float
+    found: DataFrame, min_pages: int, min_share: float
 ) -> DataFrame:
-    """Subtrees on ``min_pages`` pages of their host and on ``min_share`` of its pages, at least."""
-    counts = found.groupBy("host", "subtree").agg(F.count("*").alias("n"))
+    """Subtrees on ``min_pages`` pages of their host and on ``min_share`` of its pages, at least.
+
+    Pages of equal content are one page; pages without subtrees are not counted.
+    """
+    counts = found.groupBy("host", "subtree").agg(F.count_distinct("content").alias("n"))
     often = counts.filter(F.col("n") >= min_pages)
-    sizes = pages.groupBy("host").agg(F.count("*").alias("pages"))
+    sizes = found.groupBy("host").agg(F.count_distinct("content").alias("pages"))
     wanted = F.col("n") >= F.col("pages") * F.lit(min_share)
     return often.join(sizes, "host").filter(wanted).select("subtree")
 
@@ -251,7 +271,7 @@ def extract(
     """``pages`` (with url and html) with text instead of html.
 
     A null or empty html, or a page without main text, gives an empty text; equal pages of a
-    host give equal texts; a null url counts as a host of its own name, the empty one.  Columns
+    host give equal texts, and copies are no evidence of a template, however many; a null url counts as a host of its own name, the empty one.  Columns
     named text are replaced.  The template subtrees are broadcast if there are at most
     ``broadcast_subtrees`` of them; otherwise each page is joined with its own.
     """
@@ -268,7 +288,7 @@ def extract(
     known = keyed.select(F.col("_page").alias("page"), F.col("_host").alias("host"), "html")
     found = stored(subtrees(known), "subtrees")
     often = stored(
-        templates(known.select("host"), found, min_pages, min_share).distinct(), "templates"
+        templates(found, min_pages, min_share).distinct(), "templates"
     )
     small = often.count() <= broadcast_subtrees
     shared = None

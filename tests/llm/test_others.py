@@ -64,6 +64,26 @@ def test_templates_of_a_host_are_deleted(spark, limit):
     assert html.extract(pages.limit(0)).isEmpty()
 
 
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_copies_of_a_page_are_no_template(spark, limit):
+    rows = []
+    for i in range(12):
+        head = f"<head><link href='http://a.example/{i}'></head>"
+        links = f"<a href='/share?of={i}'>Open</a>"
+        text = "<div><p>One story.</p><p>Told often.</p></div>"
+        rows.append((i, f"http://a.example/{i}", f"<html>{head}<body>{text}{links}</body></html>"))
+        rows.append((100, "http://b.example/", f"<body>{text}</body>"))
+        own = f"<div><p>Page {i}</p></div>"
+        rows.append((200 + i, f"http://c.example/{i}", f"<body><div>Join <i>now</i></div>{own}"))
+    rows += [(300, "http://c.example/3", rows[11][2])] * 3
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = html.extract(pages, broadcast_subtrees=limit).collect()
+    story = "One story.\nTold often."
+    want = [(i, f"{story}\nOpen") for i in range(12)] + [(100, story)] * 12
+    want += [(200 + i, f"Page {i}") for i in range(12)] + [(300, "Page 3")] * 3
+    assert sorted((r["page_id"], r["text"]) for r in got) == sorted(want)
+
+
 def test_audit_finds_exactly_what_differs(spark):
     n = 700
     rows = [(i, f"http://x/{i}", "h" * (i % 50)) for i in range(n)] + [(None, None, None)] * 2
