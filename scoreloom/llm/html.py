@@ -25,7 +25,6 @@ from pyspark.sql.types import StructType
 from scoreloom.llm.common import column_of, slices, stored
 
 MIN_PAGES = 5
-MIN_SHARE = 0.05
 BROADCAST_SUBTREES = 500_000
 
 TOKEN = re.compile(
@@ -248,24 +247,18 @@ def subtrees(pages: DataFrame) -> DataFrame:
     return pages.mapInArrow(run, "page long, host string, subtree long, content long")
 
 
-def templates(
-    found: DataFrame, min_pages: int, min_share: float
-) -> DataFrame:
-    """Subtrees on ``min_pages`` pages of their host and on ``min_share`` of its pages, at least.
+def templates(found: DataFrame, min_pages: int) -> DataFrame:
+    """Subtrees on ``min_pages`` pages of their host, at least, whatever the size of the host.
 
-    Pages of equal content are one page; pages without subtrees are not counted.
+    Pages of equal content are one page.  Further pages of a host never take a template back.
     """
     counts = found.groupBy("host", "subtree").agg(F.count_distinct("content").alias("n"))
-    often = counts.filter(F.col("n") >= min_pages)
-    sizes = found.groupBy("host").agg(F.count_distinct("content").alias("pages"))
-    wanted = F.col("n") >= F.col("pages") * F.lit(min_share)
-    return often.join(sizes, "host").filter(wanted).select("subtree")
+    return counts.filter(F.col("n") >= min_pages).select("subtree")
 
 
 def extract(
     pages: DataFrame,
     min_pages: int = MIN_PAGES,
-    min_share: float = MIN_SHARE,
     broadcast_subtrees: int = BROADCAST_SUBTREES,
 ) -> DataFrame:
     """``pages`` (with url and html) with text instead of html.
@@ -287,9 +280,7 @@ def extract(
     )
     known = keyed.select(F.col("_page").alias("page"), F.col("_host").alias("host"), "html")
     found = stored(subtrees(known), "subtrees")
-    often = stored(
-        templates(found, min_pages, min_share).distinct(), "templates"
-    )
+    often = stored(templates(found, min_pages).distinct(), "templates")
     small = often.count() <= broadcast_subtrees
     shared = None
     if small:

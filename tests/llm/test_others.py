@@ -84,6 +84,18 @@ def test_copies_of_a_page_are_no_template(spark, limit):
     assert sorted((r["page_id"], r["text"]) for r in got) == sorted(want)
 
 
+def test_a_template_stays_one_as_its_host_grows(spark):
+    menu = "<div><span>News</span> <span>Sport</span></div>"
+    rows = [
+        (i, "http://a.example/", f"<body>{menu if i < 6 else ''}<div><p>Page {i}</p></div>")
+        for i in range(300)
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for n in (12, 300):
+        got = html.extract(pages.filter(F.col("page_id") < n)).collect()
+        assert {r["page_id"]: r["text"] for r in got} == {i: f"Page {i}" for i in range(n)}
+
+
 def test_audit_finds_exactly_what_differs(spark):
     n = 700
     rows = [(i, f"http://x/{i}", "h" * (i % 50)) for i in range(n)] + [(None, None, None)] * 2
