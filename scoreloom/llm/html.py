@@ -35,8 +35,11 @@ TOKEN = re.compile(
     |[^<]+|<""",
     re.S | re.X,
 )
-NAMED = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
-HIDDEN = re.compile(r"""\s(hidden(\s|=|/|$)|aria-hidden\s*=\s*["']?true)""", re.I)
+# A name with or without a value, or a quoted string by itself.
+ATTRIBUTE = re.compile(
+    r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?|"[^"]*"|'[^']*'"""
+)
+NAMED = ("class", "id", "role")
 
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
@@ -85,6 +88,15 @@ class Element:
         self.words = False
 
 
+def attributes_of(raw: str) -> dict[str, str]:
+    """The attributes of a tag by lower-case name; of repeated ones the first counts."""
+    found: dict[str, str] = {}
+    for name, value in ATTRIBUTE.findall(raw):
+        if name:
+            found.setdefault(name.lower(), value.strip("\"'"))
+    return found
+
+
 class Page:
     """Reads a page once: ``subtrees`` are hashes of possible template parts, ``text`` the rest.
 
@@ -147,11 +159,14 @@ class Page:
             return
         dropped = top.dropped or tag in DROPPED or (tag in DROPPED_OUTSIDE and not inside)
         if not dropped and attributes and tag not in KEPT_WHOLE:
+            given = attributes_of(attributes)
             words: set[str] = set()
-            for _, value in NAMED.findall(attributes):
-                words.update(re.findall(r"[a-z]+", value.lower()))
+            for name in NAMED:
+                if name in given:
+                    words.update(re.findall(r"[a-z]+", given[name].lower()))
             dropped = bool(words & WORDS) or (not inside and bool(words & WORDS_OUTSIDE))
-            dropped = dropped or bool(HIDDEN.search(attributes))
+            dropped = dropped or "hidden" in given
+            dropped = dropped or given.get("aria-hidden", "").strip().lower() == "true"
         if tag in BLOCKS and not top.dropped:
             self.out.append(None)
         self.stack.append(Element(tag, len(self.out), dropped, inside))

@@ -40,6 +40,21 @@ def test_page_text(page, text):
     assert texts(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article><p title='the hidden cost'>a</p><p title=\"x hidden\">b</p></article>", "a\nb"),
+        ("<p data-id='social-12'>a</p><p data-role=menu>b</p><p x-class=ad>c</p>", "a\nb\nc"),
+        ("<p title=' class=ad'>a</p><p alt='aria-hidden=true'>b</p><p data-hidden>c</p>", "a\nb\nc"),
+        ("<p hidden>a</p><p HIDDEN=''>b</p><p id=x hidden/>c</p><p aria-hidden = 'True'>d</p>e", "e"),
+        ("<p title='a'hidden>a</p><p ID=social-12>b</p><p role='menu'>c</p><p class = \"ad\">d</p>e", "e"),
+        ("<p aria-hidden=false class='x y' id=z>a</p><p class=a class=ad>b</p>", "a\nb"),
+    ],
+)
+def test_only_whole_attributes_count(page, text):
+    assert texts(page) == text
+
+
 @pytest.mark.parametrize("limit", [1 << 20, 0])
 def test_templates_of_a_host_are_deleted(spark, limit):
     rows = []
