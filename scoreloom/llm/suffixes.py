@@ -268,38 +268,55 @@ def repeated_windows(
 # --- the three exchanges ----------------------------------------------------------------------
 
 MARKS = "hash long, doc long"
+LISTED = "doc long, hashes array<long>, answered boolean"
 SNIPPETS = (
     "hash long, snippet binary, doc long, twin long, start long, more array<long>, size long"
 )
 SPANS = "doc long, twin long, start long, end long"
 
 
-def _marks(span: int, gram: int, answered: bool):
-    """Each document's distinct smallest hashes.
+def _marks(span: int, gram: int):
+    """Each document's distinct smallest hashes, as lists.
 
     A hash that several documents of the slice have needs no answer: they are candidates at
-    once (the rows of ``answered``), and one row without a document speaks for them among the
-    others.
+    once (the rows ``answered``), and one row without a document speaks for them among the
+    others.  Both kinds must come of one pass: another may cut the slices elsewhere.
     """
 
+    def rows(
+        docs: np.ndarray, texts: np.ndarray, hashes: np.ndarray, answered: bool
+    ) -> pa.RecordBatch:
+        """A row for each text; text -1 is that without a document."""
+        order = np.argsort(texts, kind="stable")
+        texts, hashes = texts[order], hashes[order]
+        first = np.flatnonzero(np.r_[True, texts[1:] != texts[:-1]][: len(texts)])
+        offsets = pa.array(np.r_[first, len(texts)], pa.int32())
+        owner = texts[first]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(docs[owner], mask=owner < 0),
+                pa.ListArray.from_arrays(offsets, pa.array(hashes.view(np.int64))),
+                pa.array(np.full(len(first), answered)),
+            ],
+            ["doc", "hashes", "answered"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SLICE):
             runs = Runs(texts_of(part), span, gram)
             if not len(runs.hash):
                 continue
+            docs = column_of(part, "doc").to_numpy()
             order = np.lexsort((runs.text, runs.hash))
             h, t = runs.hash[order], runs.text[order]
             first = np.r_[True, (h[1:] != h[:-1]) | (t[1:] != t[:-1])]
-            h, d = h[first], column_of(part, "doc").to_numpy()[t[first]]
+            h, t = h[first], t[first]
             new = np.r_[True, h[1:] != h[:-1]]
             several = ~(new & np.r_[new[1:], True])
-            if answered:
-                rows = [pa.array(h[several].view(np.int64)), pa.array(d[several])]
-            else:
-                hidden = (several & new)[new | ~several]
-                h, d = h[new | ~several], d[new | ~several]
-                rows = [pa.array(h.view(np.int64)), pa.array(d, mask=hidden)]
-            yield pa.RecordBatch.from_arrays(rows, ["hash", "doc"])
+            asked = new | ~several
+            yield rows(docs, np.where(several, -1, t)[asked], h[asked], False)
+            if several.any():
+                yield rows(docs, t[several], h[several], True)
 
     return run
 
@@ -637,9 +654,11 @@ def remove_repeats(
     copies = stored(copies.select("doc", "twin", "size"), "copies")
 
     texts = plain.select("doc", "text")
-    asked = texts.mapInArrow(_marks(span, gram, False), MARKS)
+    marks = stored(texts.mapInArrow(_marks(span, gram), LISTED), "marks")
+    each = F.explode("hashes").alias("hash")
+    asked = marks.filter("NOT answered").select(each, "doc")
     shared = asked.repartition("hash").sortWithinPartitions("hash").mapInArrow(_shared, MARKS)
-    known = texts.mapInArrow(_marks(span, gram, True), MARKS)
+    known = marks.filter("answered").select(each, "doc")
     none = F.lit(None).cast("long")
     candidates = (
         shared.filter("doc IS NOT NULL")

@@ -170,6 +170,34 @@ def test_repeats_against_brute_force(documents, rows, limits):
     assert found == by_key(removed_by_brute_force(rows, 50))
 
 
+def test_slices_are_cut_in_one_pass(spark, monkeypatch):
+    """Scans after the first cut their slices elsewhere, as after the loss of an executor."""
+    rng = random.Random(4)
+    passage = " ".join(str(rng.getrandbits(40)) for _ in range(30))
+    rows = [(i, f"{rng.getrandbits(80)} {passage} {rng.getrandbits(80)}") for i in range(2)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).cache()
+    given, scans = suffixes._marks, []
+
+    def marks(*arguments):
+        scans.append(arguments)
+        run, alone = given(*arguments), len(scans) > 1
+
+        def cut(batches):
+            if not alone:
+                yield from run(batches)
+                return
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    yield from run(iter([batch.slice(i, 1)]))
+
+        return cut
+
+    monkeypatch.setattr(suffixes, "_marks", marks)
+    got = suffixes.remove_repeats(documents).collect()
+    found = by_key((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in got)
+    assert found == by_key(removed_by_brute_force(rows, 50))
+
+
 def test_suffix_order_is_that_of_the_suffixes():
     rng = random.Random(1)
     for _ in range(50):
