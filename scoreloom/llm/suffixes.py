@@ -267,8 +267,8 @@ def repeated_windows(
 
 # --- the three exchanges ----------------------------------------------------------------------
 
-MARKS = "hash long, doc long"
-LISTED = "doc long, hashes array<long>, answered boolean"
+MARKS = "hash long, doc long, twin long"
+LISTED = "doc long, twin long, hashes array<long>, answered boolean"
 SNIPPETS = (
     "hash long, snippet binary, doc long, twin long, start long, more array<long>, size long"
 )
@@ -280,11 +280,12 @@ def _marks(span: int, gram: int):
 
     A hash that several documents of the slice have needs no answer: they are candidates at
     once (the rows ``answered``), and one row without a document speaks for them among the
-    others.  Both kinds must come of one pass: another may cut the slices elsewhere.
+    others.  Both kinds must come of one pass: another may cut the slices elsewhere.  Repeated
+    rows of a slice are one document.
     """
 
     def rows(
-        docs: np.ndarray, texts: np.ndarray, hashes: np.ndarray, answered: bool
+        part: pa.RecordBatch, texts: np.ndarray, hashes: np.ndarray, answered: bool
     ) -> pa.RecordBatch:
         """A row for each text; text -1 is that without a document."""
         order = np.argsort(texts, kind="stable")
@@ -294,19 +295,23 @@ def _marks(span: int, gram: int):
         owner = texts[first]
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(docs[owner], mask=owner < 0),
+                pa.array(column_of(part, "doc").to_numpy()[owner], mask=owner < 0),
+                pa.array(column_of(part, "twin").to_numpy()[owner]),
                 pa.ListArray.from_arrays(offsets, pa.array(hashes.view(np.int64))),
                 pa.array(np.full(len(first), answered)),
             ],
-            ["doc", "hashes", "answered"],
+            ["doc", "twin", "hashes", "answered"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SLICE):
+            keys = zip(*(column_of(part, c).to_pylist() for c in ("doc", "twin")), strict=True)
+            once = {k: i for i, k in enumerate(keys)}
+            if len(once) < part.num_rows:
+                part = part.take(pa.array(sorted(once.values())))
             runs = Runs(texts_of(part), span, gram)
             if not len(runs.hash):
                 continue
-            docs = column_of(part, "doc").to_numpy()
             order = np.lexsort((runs.text, runs.hash))
             h, t = runs.hash[order], runs.text[order]
             first = np.r_[True, (h[1:] != h[:-1]) | (t[1:] != t[:-1])]
@@ -314,9 +319,9 @@ def _marks(span: int, gram: int):
             new = np.r_[True, h[1:] != h[:-1]]
             several = ~(new & np.r_[new[1:], True])
             asked = new | ~several
-            yield rows(docs, np.where(several, -1, t)[asked], h[asked], False)
+            yield rows(part, np.where(several, -1, t)[asked], h[asked], False)
             if several.any():
-                yield rows(docs, t[several], h[several], True)
+                yield rows(part, t[several], h[several], True)
 
     return run
 
@@ -359,8 +364,7 @@ def _snippets(span: int, gram: int):
             lists = column_of(part, "hashes")
             counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             owner = np.repeat(np.arange(len(texts)), counts)
-            copies = column_of(part, "copies").to_pylist()
-            skip = np.array([t in (c or ()) for t, c in zip(twins.tolist(), copies, strict=True)])
+            skip = column_of(part, "copied").to_numpy(zero_copy_only=False)
             salt = np.arange(len(texts)).astype(np.uint64) << np.uint64(HASH_BITS)
             wanted = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64) | salt[owner]
             chosen = np.isin(runs.hash | salt[runs.text], wanted[~skip[owner]])
@@ -558,17 +562,14 @@ def _cut(names: list[str], text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text, SLICE):
             texts = texts_of(part, text)
-            twins = column_of(part, "_twin").to_numpy()
             lists = column_of(part, "_spans")
             counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             flat = lists.flatten()
             owner = np.repeat(np.arange(len(texts)), counts)
-            twin, start, end = (
+            start, end = (
                 flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64)
-                for c in ("twin", "start", "end")
+                for c in ("start", "end")
             )
-            mine = twin == twins[owner]
-            owner, start, end = owner[mine], start[mine], end[mine]
             order = np.lexsort((start, owner))
             owner, start, end = owner[order], start[order], end[order]
             bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
@@ -632,8 +633,11 @@ def remove_repeats(
     doc = F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(LAST_ID))
     repeated_keys = documents.groupBy(doc.alias("doc")).count().filter("count > 1")
     # Texts of one key are told apart by a hash, which is left out where keys are unique.
+    # Repeated rows then bring equal hashes and spans, which are kept once.
     twin: Column = F.lit(0).cast("long")
+    gathered = F.collect_list
     if not repeated_keys.isEmpty():
+        gathered = F.collect_set
         twin = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
     rows = documents.select(
         *(f"`{c}`" for c in names), doc.alias("_doc"), twin.alias("_twin")
@@ -653,24 +657,27 @@ def remove_repeats(
     copies = digests.join(least.filter("n > 1"), "digest").filter("doc > least")
     copies = stored(copies.select("doc", "twin", "size"), "copies")
 
-    texts = plain.select("doc", "text")
-    marks = stored(texts.mapInArrow(_marks(span, gram), LISTED), "marks")
+    marks = stored(plain.mapInArrow(_marks(span, gram), LISTED), "marks")
     each = F.explode("hashes").alias("hash")
-    asked = marks.filter("NOT answered").select(each, "doc")
+    asked = marks.filter("NOT answered").select(each, "doc", "twin")
     shared = asked.repartition("hash").sortWithinPartitions("hash").mapInArrow(_shared, MARKS)
-    known = marks.filter("answered").select(each, "doc")
+    known = marks.filter("answered").select(each, "doc", "twin")
     none = F.lit(None).cast("long")
+    # Of one key and one distinct text each, so that many texts under a key are no single row.
     candidates = (
         shared.filter("doc IS NOT NULL")
         .union(known)
-        .select("doc", "hash", none.alias("copy"))
-        .union(copies.select("doc", none.alias("hash"), F.col("twin").alias("copy")))
-        .groupBy("doc")
-        .agg(F.collect_list("hash").alias("_hashes"), F.collect_set("copy").alias("_copies"))
-        .withColumnRenamed("doc", "_candidate")
+        .select("doc", "twin", "hash", F.lit(False).alias("copy"))
+        .union(copies.select("doc", "twin", none.alias("hash"), F.lit(True).alias("copy")))
+        .groupBy("doc", "twin")
+        .agg(gathered("hash").alias("_hashes"), F.max("copy").alias("_copied"))
+        .withColumnsRenamed({"doc": "_candidate", "twin": "_candidate_twin"})
     )
     # Both joins take the same columns of the documents, so that one shuffle of them serves both.
-    joined = rows.join(candidates, F.col("_doc") == F.col("_candidate"))
+    joined = rows.join(
+        candidates,
+        (F.col("_doc") == F.col("_candidate")) & (F.col("_twin") == F.col("_candidate_twin")),
+    )
     snippets = joined.mapInArrow(_renamed(_snippets(span, gram), text), SNIPPETS)
     grouped = snippets.repartition("hash").sortWithinPartitions("hash")
     ordinary = grouped.mapInArrow(_ordinary(span, block_bytes, group_bytes), SPANS)
@@ -689,11 +696,15 @@ def remove_repeats(
     spans = (
         ordinary.union(later)
         .union(whole)
-        .groupBy("doc")
-        .agg(F.collect_list(F.struct("twin", "start", "end")).alias("_spans"))
-        .withColumnRenamed("doc", "_spanned")
+        .groupBy("doc", "twin")
+        .agg(gathered(F.struct("start", "end")).alias("_spans"))
+        .withColumnsRenamed({"doc": "_spanned", "twin": "_spanned_twin"})
+    )
+    cut = rows.join(
+        spans,
+        (F.col("_doc") == F.col("_spanned")) & (F.col("_twin") == F.col("_spanned_twin")),
+        "left",
     )
-    cut = rows.join(spans, F.col("_doc") == F.col("_spanned"), "left")
     kept = documents.select(*(f"`{c}`" for c in names)).schema.fields
     schema = StructType([*kept, *added.fields])
     return cut.mapInArrow(_cut(schema.names, text), schema)
@@ -701,7 +712,7 @@ def remove_repeats(
 
 def _renamed(function, text: str):
     """``function`` over batches in which the columns have the names it knows."""
-    known = {"_doc": "doc", "_twin": "twin", text: "text", "_hashes": "hashes", "_copies": "copies"}
+    known = {"_doc": "doc", "_twin": "twin", text: "text", "_hashes": "hashes", "_copied": "copied"}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def picked() -> Iterator[pa.RecordBatch]:

@@ -198,6 +198,35 @@ def test_slices_are_cut_in_one_pass(spark, monkeypatch):
     assert found == by_key(removed_by_brute_force(rows, 50))
 
 
+def test_texts_of_one_key_are_no_single_row(spark, monkeypatch):
+    rng = random.Random(8)
+    first = [" ".join(str(rng.getrandbits(40)) for _ in range(20)) for _ in range(40)]
+    rows = [(i, t) for i, t in enumerate(first)]
+    rows += [(None, t + str(rng.getrandbits(60))) for t in first] + [(None, first[0])] * 30
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    given, most = suffixes._cut, spark.sparkContext.accumulator(0)
+
+    def counting(*arguments):
+        run = given(*arguments)
+
+        def cut(batches):
+            def counted():
+                for batch in batches:
+                    lists = batch.column(batch.schema.get_field_index("_spans"))
+                    most.add(sum(n or 0 for n in lists.value_lengths().to_pylist()))
+                    yield batch
+
+            return run(counted())
+
+        return cut
+
+    monkeypatch.setattr(suffixes, "_cut", counting)
+    got = suffixes.remove_repeats(documents).collect()
+    found = by_key((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in got)
+    assert found == by_key(removed_by_brute_force(rows, 50))
+    assert most.value < 40 * len(rows)
+
+
 def test_suffix_order_is_that_of_the_suffixes():
     rng = random.Random(1)
     for _ in range(50):
