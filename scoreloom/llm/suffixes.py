@@ -39,6 +39,8 @@ HASH_BITS = 48
 SLICE = 2 << 20
 BLOCK_BYTES = 1 << 20
 GROUP_BYTES = 32 << 20
+# Windows of a group beyond that are handed on whenever they have so many starts.
+WINDOW_STARTS = 50_000
 # A symbol is a byte plus one, 0 ends a snippet: nine bits, seven to a 64-bit key.
 SYMBOL, KEY = 9, 7
 
@@ -505,32 +507,33 @@ def _ordinary(span: int, block: int, limit: int):
 
 
 def _hot_windows(span: int, block: int, limit: int):
-    """The windows of groups beyond the limit, a row each."""
+    """The windows of groups beyond the limit, a row each, in batches of bounded size."""
+
+    def table(found: list[tuple]) -> pa.RecordBatch:
+        whole = pa.int64()
+        kinds = [pa.binary(), whole, whole, pa.list_(whole)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)],
+            ["window", "doc", "twin", "starts"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, n = [], 0
         for rows, hot in _groups(batches, block, limit):
             if not hot:
                 continue
-            windows, docs, twins, starts = [], [], [], []
-            given = ("snippet", "doc", "twin", "start", "more")
-            for snippet, doc, twin, start, more in zip(
-                *(column_of(rows, c).to_pylist() for c in given), strict=True
-            ):
+            given = [column_of(rows, c) for c in ("snippet", "doc", "twin", "start", "more")]
+            for row in zip(*given, strict=True):
+                snippet, doc, twin, start, more = (x.as_py() for x in row)
                 begins = [start, *(more or ())]
                 for i in range(len(snippet or b"") - span + 1):
-                    windows.append(snippet[i : i + span])
-                    docs.append(doc)
-                    twins.append(twin)
-                    starts.append([b + i for b in begins])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(windows, pa.binary()),
-                    pa.array(docs, pa.int64()),
-                    pa.array(twins, pa.int64()),
-                    pa.array(starts, pa.list_(pa.int64())),
-                ],
-                ["window", "doc", "twin", "starts"],
-            )
+                    found.append((snippet[i : i + span], doc, twin, [b + i for b in begins]))
+                    n += len(begins)
+                    if n >= WINDOW_STARTS:
+                        yield table(found)
+                        found, n = [], 0
+        if found:
+            yield table(found)
 
     return run
 

@@ -227,6 +227,23 @@ def test_texts_of_one_key_are_no_single_row(spark, monkeypatch):
     assert most.value < 40 * len(rows)
 
 
+def test_windows_of_large_groups_come_in_batches():
+    import pyarrow as pa
+
+    snippet = b"ab" * 100_000
+    names = ["hash", "snippet", "doc", "twin", "start", "more", "size"]
+    kinds = [pa.int64(), pa.binary(), *[pa.int64()] * 3, pa.list_(pa.int64()), pa.int64()]
+    values = [[5, 5], [snippet, snippet[:99]], [1, 2], [0, 0], [3, 0], [None, [7]], [0, 0]]
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names
+    )
+    parts = list(suffixes._hot_windows(50, 1 << 10, 1 << 11)(iter([rows])))
+    assert max(p.num_rows for p in parts) <= 50_000
+    got = [tuple(r.values()) for p in parts for r in p.to_pylist()]
+    want = [(snippet[i : i + 50], 1, 0, [3 + i]) for i in range(len(snippet) - 49)]
+    assert got == want + [(snippet[i : i + 50], 2, 0, [i, 7 + i]) for i in range(50)]
+
+
 def test_suffix_order_is_that_of_the_suffixes():
     rng = random.Random(1)
     for _ in range(50):
