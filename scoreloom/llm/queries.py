@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from scoreloom.llm import (
     bpe,
+    byte_bpe,
     chat,
+    collocations,
     decontaminate,
     html,
     quality,
@@ -18,6 +20,7 @@ from scoreloom.llm import (
     suffixes,
     token_files,
     warc,
+    whitening,
 )
 from scoreloom.llm.common import stored
 from scoreloom.plans.durable import fresh_path
@@ -238,3 +241,77 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"),
     )
+
+
+# Every contiguous run of one to five words within a piece, counted for each language.
+COLLOCATIONS_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+f AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a
+  FROM p, unnest(range(1, 6)) AS lengths(k), unnest(range(1, len(w) - k + 2)) AS starts(i)
+  GROUP BY ALL HAVING count(*) >= 100),
+s AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+inside AS (
+  SELECT lang, array_to_string(w[i:i + j - 1], ' ') AS phrase, max(a) AS longer
+  FROM s, unnest(range(2, k)) AS lengths(j), unnest(range(1, k - j + 2)) AS starts(i)
+  GROUP BY ALL),
+kept AS (
+  SELECT s.* FROM s LEFT JOIN inside USING (lang, phrase)
+  WHERE longer IS NULL OR 100 * longer < 100 * a),
+cuts AS (
+  SELECT kept.lang, kept.phrase, kept.a, c AS k, x.a AS l, y.a AS r, n,
+         CAST((1000::HUGEINT * kept.a * n) // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+  FROM kept JOIN totals USING (lang), unnest(range(1, kept.k)) AS places(c)
+  JOIN f x ON x.lang = kept.lang AND x.phrase = array_to_string(kept.w[1:c], ' ')
+  JOIN f y ON y.lang = kept.lang AND y.phrase = array_to_string(kept.w[c + 1:], ' ')),
+best AS (
+  SELECT * FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000
+"""
+
+
+@register("op11_collocations", COLLOCATIONS_SQL)
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("lang", "text")
+    return collocations.collocations(documents, least=100, most_words=5, covered=100, top=2000)
+
+
+@register("op12_byte_bpe")
+def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    file = tokenizer("byte_bpe_50k.tiktoken")
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    encoded = byte_bpe.encode(documents, file, public_tokenizers.PATTERN)
+    return byte_bpe.decode(encoded, file).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@register("op13_whitening")
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """A row for each usable vector and component, of the eight that explain most."""
+    embeddings = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    rows = whitening.whiten(embeddings, components=8)
+    both = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "of")
+    return rows.select("vec_id", "n", "deviation", "identity_error", both).select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        "n",
+        "deviation",
+        "of.whitened",
+        "of.explained",
+        "identity_error",
+    )
