@@ -14,7 +14,8 @@ from __future__ import annotations
 
 import base64
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +41,8 @@ from scoreloom.llm.blocks import (
 )
 from scoreloom.llm.common import column_of, per_process, slices, texts_of
 
-SLICE = 16 << 20
-KNOWN_BYTES = 128 << 20
+SLICE = 5 << 20
+KNOWN_BYTES = 64 << 20
 
 OCCURRENCES = (
     "slice long, carried binary, counts binary, codes binary, "
@@ -66,18 +67,30 @@ def pre_token_pattern(pattern: str) -> regex.Pattern:
 class _Pieces(dict):
     """Numbers of the pieces between single spaces; a new piece is cut into its pre-tokens."""
 
-    def __init__(self, slice_: Slice, before: str):
-        self.slice, self.before = slice_, before
+    def __init__(self, cut: Callable[[str], list[str]], words: _Words, before: str):
+        self.cut, self.words, self.before = cut, words, before
 
     def __missing__(self, piece: str) -> int:
         if not piece or piece[0].isspace() or piece[-1].isspace():
             number = -1
         else:
-            number = self.slice.add_piece(self.slice.cut(self.before + piece))
+            number = self.words.add_piece(self.cut(self.before + piece))
         self[piece] = number
         return number
 
 
+class _Words(dict):
+    """Numbers of the distinct words, and the words of each piece one after the other."""
+
+    def __init__(self) -> None:
+        self.flat, self.sizes = array("i"), array("i")
+
+    def add_piece(self, words: list[str]) -> int:
+        self.flat.extend([self.setdefault(w, len(self)) for w in words])
+        self.sizes.append(len(words))
+        return len(self.sizes) - 1
+
+
 class Slice:
     """The pre-tokens of some texts, as numbers into the distinct ones.
 
@@ -87,18 +100,11 @@ class Slice:
 
     def __init__(self, pattern: regex.Pattern):
         self.cut = pattern.findall
-        self.words: dict[str, int] = {}
-        self.flat: list[int] = []
-        self.sizes: list[int] = []
-        self.first, self.later = _Pieces(self, ""), _Pieces(self, " ")
+        self.words = _Words()
+        self.first = _Pieces(self.cut, self.words, "")
+        self.later = _Pieces(self.cut, self.words, " ")
         self.texts: list[np.ndarray] = []
 
-    def add_piece(self, words: list[str]) -> int:
-        known = self.words
-        self.flat += [known.setdefault(w, len(known)) for w in words]
-        self.sizes.append(len(words))
-        return len(self.sizes) - 1
-
     def add(self, text: str) -> None:
         if not text:
             self.texts.append(np.zeros(0, np.int32))
@@ -107,7 +113,7 @@ class Slice:
         numbers = np.fromiter(map(self.later.__getitem__, pieces), np.int32, len(pieces))
         numbers[0] = self.first[pieces[0]]
         if numbers.min() < 0:
-            numbers = np.array([self.add_piece(self.cut(text))], np.int32)
+            numbers = np.array([self.words.add_piece(self.cut(text))], np.int32)
         self.texts.append(numbers)
 
     def occurrences(self, parts: int) -> tuple[bytes, bytes, list[dict]]:
@@ -115,13 +121,12 @@ class Slice:
 
         Words are numbered in the order of the blocks.
         """
-        sizes = np.array(self.sizes, np.int64)
-        flat = np.array(self.flat, np.int64)
+        sizes, flat = np.array(self.words.sizes), np.array(self.words.flat)
         lengths = np.fromiter(map(len, self.texts), np.int64, len(self.texts))
         numbers = np.concatenate([np.zeros(0, np.int32), *self.texts])
         per_piece = sizes[numbers]
-        codes = flat[runs((np.cumsum(sizes) - sizes)[numbers], per_piece)]
-        before = np.concatenate([[0], np.cumsum(per_piece)])
+        codes = flat[runs((np.cumsum(sizes, dtype=np.int64) - sizes)[numbers], per_piece)]
+        before = np.concatenate([[0], np.cumsum(per_piece, dtype=np.int64)])
         ends = np.cumsum(lengths)
         counts = before[ends] - before[ends - lengths]
 
@@ -267,11 +272,10 @@ def encode(
     schema = StructType([*kept.schema.fields, StructField("ids", BinaryType())])
     wanted = documents.select(*(f"`{c}`" for c in [*names, text]))
     parts = part_count(documents.sparkSession)
-    found = bucketed(
-        wanted.mapInArrow(_occurrences(names, text, pattern, parts, slice_bytes), OCCURRENCES),
-        "slice",
-        "pre_tokens",
+    occurrences = wanted.mapInArrow(
+        _occurrences(names, text, pattern, parts, slice_bytes), OCCURRENCES
     )
+    found = bucketed(occurrences, "slice", "pre_tokens")
     blocks = found.select("slice", F.inline("blocks"))
     answers = by_part(blocks).mapInArrow(_answer(file, pattern), ANSWERS)
     return (
