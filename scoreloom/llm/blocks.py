@@ -10,6 +10,7 @@ no value can fill a task, and blocks take a fraction of the room of single rows.
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from scoreloom.plans.durable import fresh_path
+from scoreloom.plans.durable import shared_folder
 
 MAX_BUCKETS = 100_000
 
@@ -27,13 +28,23 @@ def part_count(spark: SparkSession) -> int:
     return min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
-    """``df`` as a table in buckets of ``key`` in the shared folder, read without a shuffle."""
+def bucketed(df: DataFrame, key: str, name: str) -> str:
+    """``df`` as a table in buckets of ``key`` in the shared folder, read without a shuffle.
+
+    Returns the table's name; ``drop`` takes the table and its files away.
+    """
     spark = df.sparkSession
-    table = f"{name}_{uuid.uuid4().hex}"
-    writer = df.write.bucketBy(part_count(spark), key).option("path", fresh_path(spark, name))
-    writer.saveAsTable(table)
-    return spark.table(table)
+    folder = f"{shared_folder(spark).rstrip('/')}/tables"
+    database = f"scoreloom_{zlib.crc32(folder.encode()):08x}"
+    # A database of the shared folder, so that dropping a table deletes its files.
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder}'")
+    table = f"{database}.{name}_{uuid.uuid4().hex}"
+    df.write.bucketBy(part_count(spark), key).saveAsTable(table)
+    return table
+
+
+def drop(spark: SparkSession, table: str) -> None:
+    spark.sql(f"DROP TABLE {table}")
 
 
 def by_part(blocks: DataFrame) -> DataFrame:

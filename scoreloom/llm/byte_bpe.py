@@ -275,7 +275,7 @@ def encode(
     occurrences = wanted.mapInArrow(
         _occurrences(names, text, pattern, parts, slice_bytes), OCCURRENCES
     )
-    found = bucketed(occurrences, "slice", "pre_tokens")
+    found = documents.sparkSession.table(bucketed(occurrences, "slice", "pre_tokens"))
     blocks = found.select("slice", F.inline("blocks"))
     answers = by_part(blocks).mapInArrow(_answer(file, pattern), ANSWERS)
     return (

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from scoreloom.llm.blocks import (
     bucketed,
     by_part,
+    drop,
     increasing,
     packed,
     packed_words,
@@ -324,20 +325,21 @@ def frequent_phrases(
     )
     parts = part_count(spark)
     schema = spark.createDataFrame([], COUNTED).toArrow().schema
-    relation = bucketed(
-        given.mapInArrow(_word_occurrences(parts, chunk_bytes), RELATION), "chunk", "occurrences"
-    )
+    occurrences = given.mapInArrow(_word_occurrences(parts, chunk_bytes), RELATION)
+    written = bucketed(occurrences, "chunk", "occurrences")
     levels: list[DataFrame] = []
     totals = None
     for words in range(1, most_words + 1):
         if words > 1:
             extended = (
-                relation.groupBy("chunk")
+                spark.table(written)
+                .groupBy("chunk")
                 .cogroup(answers.groupBy("chunk"))  # noqa: F821
                 .applyInArrow(_extend(parts), RELATION)
             )
-            relation = bucketed(extended, "chunk", "occurrences")
-        blocks = relation.select("chunk", "lang", F.inline("blocks"))
+            shorter, written = written, bucketed(extended, "chunk", "occurrences")
+            drop(spark, shorter)  # nothing reads the shorter phrases' occurrences any more
+        blocks = spark.table(written).select("chunk", "lang", F.inline("blocks"))
         count = _count_words if words == 1 else _count_pairs
         counted = stored(by_part(blocks).mapInArrow(count(least, schema), COUNTED), "counted")
         answers = counted.filter("kind = 'answer'").select("chunk", "part", "found", "numbers")
@@ -359,6 +361,7 @@ def frequent_phrases(
                 .select("lang", "number", phrase.alias("phrase"), "last", "n")
             )
         levels.append(stored(named, "phrases"))
+    drop(spark, written)
     found = None
     for words, level in enumerate(levels, 1):
         rows = level.select("lang", F.lit(words).alias("words"), "phrase", "n")
