@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import DenseMatrix
@@ -77,7 +78,9 @@ def _block_matrix(rows: DataFrame, n: int, width: int) -> BlockMatrix:
     vectors = rows.select("index", array_to_vector("x").alias("vector"))
     given = MLUtils.convertVectorColumnsFromML(vectors, "vector")
     tall = max(ROWS, min(-(-n // BLOCKS), BLOCK_BYTES // (8 * width)))
-    return IndexedRowMatrix(given, n, width).toBlockMatrix(tall, width)
+    return IndexedRowMatrix(given, n, width).toBlockMatrix(tall, width).persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
 
 
 def _product(left: BlockMatrix, right: BlockMatrix, splits: int) -> BlockMatrix:
@@ -200,4 +203,5 @@ def _projected(
     product = matrix.multiply(factor).toIndexedRowMatrix()
     rows = callMLlibFunc("getIndexedRows", product._java_matrix_wrapper._java_model)
     projected = stored(rows.select("index", vector_to_array("vector").alias("y")), "whitened")
+    matrix._java_matrix_wrapper._java_model.blocks().unpersist(False)
     return projected, identity_error(projected, kept), model.explained
