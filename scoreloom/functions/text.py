@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -145,3 +145,34 @@ def with_terms(docs: DataFrame, max_n: int = 1, tokens: str = "tokens") -> DataF
     for n in range(2, max_n + 1):
         grams.append(_joined_runs("_words", n))
     return docs.withColumn("terms", F.concat(*grams)).drop("_words")
+
+
+def counted(words: Column | str, word: str = "term", n: str = "n") -> Column:
+    """The distinct words of an array with how often each stands in it, sorted by word.
+
+    The array is sorted and the lengths of its runs are taken, within the row: nothing is
+    shuffled to be counted.
+    """
+
+    def run_lengths(ordered: Column) -> Column:
+        size = F.size(ordered)
+        places = F.sequence(F.lit(0), size - 1)
+        starts = F.filter(
+            places, lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1))
+        )
+        return F.when(size > 0, _bound(starts, lambda found: _runs(ordered, found, size)))
+
+    def _runs(ordered: Column, starts: Column, size: Column) -> Column:
+        ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(size))
+        return F.zip_with(
+            starts,
+            ends,
+            lambda a, b: F.struct(F.get(ordered, a).alias(word), (b - a).cast("long").alias(n)),
+        )
+
+    return _bound(F.array_sort(F.filter(words, lambda w: w.isNotNull())), run_lengths)
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
