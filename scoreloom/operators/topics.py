@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from scoreloom.functions.text import counted
 from scoreloom.operators.terms import TermModel, fit_terms
 from scoreloom.plans.ordering import MAX_GROUP_ROWS, place_in_group
 from scoreloom.plans.spreading import spread
@@ -38,9 +39,12 @@ def build_vocabulary(docs: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> D
 
 
 def doc_to_bow(docs: DataFrame, key: str) -> DataFrame:
-    """Occurrences of each token per document."""
-    return unfold(docs, "tokens", "token", key).groupBy(key, "token").agg(
-        F.count(F.lit(1)).alias("n")
+    """Occurrences of each token per document, counted within the row: nothing is shuffled.
+
+    ``key`` is a document's own; rows that share one are counted apart.
+    """
+    return unfold(docs, counted("tokens", "token"), "_token", key).select(
+        key, "_token.token", "_token.n"
     )
 
 
