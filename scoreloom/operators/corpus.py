@@ -11,6 +11,9 @@ from scoreloom.functions import text as tx
 from scoreloom.functions.stemming import stem_tokens, stem_words
 from scoreloom.plans.unfolding import unfold, unfold_places
 
+# Registers of a sketch, as a power of two: a relative standard error of about 1.6 %.
+SKETCH_LG_SIZE = 12
+
 
 def vocabulary(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
     """The distinct tokens of a corpus."""
@@ -102,6 +105,54 @@ def corpus_summary(
     )
 
 
+def corpus_sketches(
+    docs: DataFrame, split: str, category: str, tokens: str = "tokens", lg_size: int = SKETCH_LG_SIZE
+) -> DataFrame:
+    """What ``corpus_summary`` tells of each split, in a form that can be stored and merged.
+
+    (split, documents, token_sketch, category_sketch): the sketches are small whatever the
+    corpus, and are built before the shuffle, so that a split has one row for each task there.
+    """
+    # One sketch for each document would cost more than its tokens: they are unfolded instead.
+    words = unfold(docs, F.array_distinct(tokens), "_token", split).groupBy(split).agg(
+        F.hll_sketch_agg("_token", lg_size).alias("token_sketch")
+    )
+    sizes = docs.groupBy(split).agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.hll_sketch_agg(category, lg_size).alias("category_sketch"),
+    )
+    joined = sizes.withColumnRenamed(split, "_split").join(
+        words, F.col("_split").eqNullSafe(F.col(split)), "left"
+    )
+    return joined.select(
+        F.col("_split").alias(split), "documents", "token_sketch", "category_sketch"
+    )
+
+
+def merge_sketches(sketches: DataFrame, split: str) -> DataFrame:
+    """One row for each split from the stored rows of any number of deliveries.
+
+    No document may stand in two deliveries if ``documents`` is to be right; the sketches are
+    the same however often one does.
+    """
+    return sketches.groupBy(split).agg(
+        F.sum("documents").alias("documents"),
+        F.hll_union_agg("token_sketch").alias("token_sketch"),
+        F.hll_union_agg("category_sketch").alias("category_sketch"),
+    )
+
+
+def summary_of_sketches(sketches: DataFrame, split: str) -> DataFrame:
+    """Like ``corpus_summary``, with distinct tokens and categories as the sketches estimate them."""
+    merged = merge_sketches(sketches, split)
+    return merged.select(
+        split,
+        "documents",
+        F.coalesce(F.hll_sketch_estimate("token_sketch"), F.lit(0).cast("long")).alias("vocabulary"),
+        F.coalesce(F.hll_sketch_estimate("category_sketch"), F.lit(0).cast("long")).alias("categories"),
+    )
+
+
 def category_histogram(docs: DataFrame, category: str) -> DataFrame:
     """Documents per category, most common first."""
     return (
