@@ -13,6 +13,8 @@ from scoreloom.plans.unfolding import unfold, unfold_places
 
 # Registers of a sketch, as a power of two: a relative standard error of about 1.6 %.
 SKETCH_LG_SIZE = 12
+# Four standard errors.
+SKETCH_BOUND = 4 * 1.04 / 2 ** (SKETCH_LG_SIZE / 2)
 
 
 def vocabulary(docs: DataFrame, tokens: str = "tokens") -> DataFrame:

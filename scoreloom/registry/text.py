@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.functions import text as tx
 from scoreloom.operators import corpus as ops
-from scoreloom.plans.durable import fresh_path
+from scoreloom.plans.durable import cut, fresh_path
 from scoreloom.plans.spreading import spread_scan
 from scoreloom.registry import inputs
 from scoreloom.registry.base import joined, register, table, with_ctes
@@ -245,6 +245,33 @@ def corpus_summary(spark, sf_dir):
     return ops.corpus_summary(docs, "split", "lang")
 
 
+@register(
+    "corpus_sketches",
+    with_ctes(
+        _SPLITS_SQL,
+        select="""SELECT split, count(*) AS documents, count(DISTINCT lang) AS categories,
+                         true AS vocabulary_within_bound
+                  FROM split_docs GROUP BY split""",
+    ),
+)
+def corpus_sketches(spark, sf_dir):
+    """Stored sketches of each source, merged; the estimate is held against the exact count."""
+    docs = spread_scan(table(spark, sf_dir, "documents"), "doc_id").select(
+        F.col("source").alias("split"), "lang", tx.notebook_tokens(F.col("text")).alias("tokens")
+    )
+    told = ops.summary_of_sketches(cut(ops.corpus_sketches(docs, "split", "lang")), "split")
+    exact = ops.corpus_summary(docs, "split", "lang").select(
+        F.col("split").alias("_split"), F.col("vocabulary").alias("_exact")
+    )
+    gap = F.abs(F.col("vocabulary") - F.col("_exact"))
+    return told.join(exact, F.col("split").eqNullSafe(F.col("_split"))).select(
+        "split",
+        "documents",
+        "categories",
+        (gap <= F.col("_exact") * ops.SKETCH_BOUND).alias("vocabulary_within_bound"),
+    )
+
+
 @register(
     "category_histogram",
     "SELECT lang AS label, count(*) AS documents FROM documents GROUP BY lang",

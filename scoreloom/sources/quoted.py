@@ -13,6 +13,7 @@ import sys
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -50,23 +51,32 @@ def ends_inside(line: str, inside: bool, sep: str) -> bool:
             at, fresh = at + 1, True
 
 
-def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], str]]:
-    """Each line with its split, in the order of the file."""
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], list[str]]]:
+    """Runs of lines of one split each, in the order of the file."""
     for batch in batches:
-        files, starts, values = (batch.column(i).to_pylist() for i in range(3))
-        yield from zip(zip(files, starts, strict=True), values, strict=True)
+        files, starts, values = (batch.column(i) for i in range(3))
+        files, starts = files.to_pylist(), starts.to_numpy()
+        new = [i for i in range(1, len(starts)) if files[i] != files[i - 1]]
+        edges = sorted({0, *new, *(np.flatnonzero(np.diff(starts)) + 1).tolist(), len(starts)})
+        for a, b in zip(edges, edges[1:], strict=False):
+            yield (files[a], int(starts[a])), values.slice(a, b - a).to_pylist()
 
 
 def _states(sep: str):
     """For each split, where it ends for both states it may begin in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[tuple[str, int], list[bool]] = {}
-        for split, line in _lines(batches):
-            state = found.setdefault(split, [False, True, False])
-            if QUOTE in line:
-                state[:2] = [ends_inside(line, inside, sep) for inside in state[:2]]
-                state[2] |= not state[1]
+        found: dict[tuple[str, int], tuple[bool, bool, bool]] = {}
+        for split, lines in _lines(batches):
+            outside, inside, closes = found.get(split, (False, True, False))
+            for line in lines:
+                if QUOTE in line:
+                    # From where both states have met they stay the same.
+                    met = outside == inside
+                    inside = ends_inside(line, inside, sep)
+                    outside = inside if met else ends_inside(line, outside, sep)
+                    closes = closes or not inside
+            found[split] = outside, inside, closes
         rows = [(*split, *state) for split, state in found.items()]
         columns = list(zip(*rows, strict=True)) or [[]] * 5
         kinds = [pa.string(), pa.int64(), *[pa.bool_()] * 3]
@@ -101,7 +111,7 @@ def _records(sep: str, shared):
             out.clear()
             return pa.RecordBatch.from_arrays(made, names)
 
-        for own, line in _lines(batches):
+        for own, lines in _lines(batches):
             if own != split:
                 if held:
                     close(False)
@@ -110,14 +120,15 @@ def _records(sep: str, shared):
                     raise RuntimeError(f"{own} was not a split of the first pass; read again")
                 inside, owner = begins[own]
                 first = own[1] == 0
-            held.append(line)
-            if QUOTE in line:
-                inside = ends_inside(line, inside, sep)
-            if not inside:
-                close(True)
-                held, owner, first = [], split[1], False
-                if len(out) >= 10_000:
-                    yield batch()
+            for line in lines:
+                held.append(line)
+                if QUOTE in line:
+                    inside = ends_inside(line, inside, sep)
+                if not inside:
+                    close(True)
+                    held, owner, first = [], split[1], False
+            if out:
+                yield batch()
         if held:
             close(False)
         yield batch()
