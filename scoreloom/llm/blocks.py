@@ -28,18 +28,28 @@ def part_count(spark: SparkSession) -> int:
     return min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def bucketed(df: DataFrame, key: str, name: str) -> str:
-    """``df`` as a table in buckets of ``key`` in the shared folder, read without a shuffle.
-
-    Returns the table's name; ``drop`` takes the table and its files away.
-    """
-    spark = df.sparkSession
+def _fresh_table(spark: SparkSession, name: str) -> str:
     folder = f"{shared_folder(spark).rstrip('/')}/tables"
     database = f"scoreloom_{zlib.crc32(folder.encode()):08x}"
     # A database of the shared folder, so that dropping a table deletes its files.
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder}'")
-    table = f"{database}.{name}_{uuid.uuid4().hex}"
-    df.write.bucketBy(part_count(spark), key).saveAsTable(table)
+    return f"{database}.{name}_{uuid.uuid4().hex}"
+
+
+def as_table(df: DataFrame, name: str) -> str:
+    """``df`` as a table in the shared folder.
+
+    Returns the table's name; ``drop`` takes the table and its files away.
+    """
+    table = _fresh_table(df.sparkSession, name)
+    df.write.saveAsTable(table)
+    return table
+
+
+def bucketed(df: DataFrame, key: str, name: str) -> str:
+    """As ``as_table``, in buckets of ``key``, read without a shuffle."""
+    table = _fresh_table(df.sparkSession, name)
+    df.write.bucketBy(part_count(df.sparkSession), key).saveAsTable(table)
     return table
 
 

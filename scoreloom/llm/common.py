@@ -4,18 +4,20 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Hashable, Iterator, Sequence
+from contextlib import contextmanager
 from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scoreloom.plans.durable import fresh_path
 
 LAST_ID = (1 << 63) - 1
 SLICE_BYTES = 1 << 20
+RELEASE_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -25,6 +27,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Jobs in this context delete the files of their shuffles once their result is written."""
+    before = spark.conf.get(RELEASE_SETTING)
+    spark.conf.set(RELEASE_SETTING, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(RELEASE_SETTING, before)
+
+
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
     return F.get(F.transform(F.array(value), use), F.lit(0))

@@ -267,9 +267,16 @@ def _shipped(shared, present: list[str], names: list[str]):
 def drop_contaminated(
     documents: DataFrame, benchmark: DataFrame, window: int = WINDOW
 ) -> DataFrame:
-    """The documents without any hit, with their columns."""
-    found = find_contamination(documents, benchmark, window)
-    return found.filter("n_hit = 0").select(*(f"`{c}`" for c in documents.columns))
+    """The documents without any hit, with their columns, whatever the names of these."""
+    others = [F.col(f"`{c}`") for c in documents.columns if c != "text"]
+    wrapped = documents.select(F.struct(*others).alias("row"), "text")
+    clean = find_contamination(wrapped, benchmark, window).filter("n_hit = 0")
+    return clean.select(
+        *(
+            (F.col("text") if c == "text" else F.col("row").getField(c)).alias(c)
+            for c in documents.columns
+        )
+    )
 
 
 def remove_spans(found: DataFrame, text: str = "text") -> DataFrame:

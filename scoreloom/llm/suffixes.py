@@ -21,7 +21,7 @@ held by one task: its windows are sorted over all tasks and compared with their
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from scoreloom.llm.common import LAST_ID, column_of, slices, stored, texts_of
+from scoreloom.llm.blocks import as_table, drop
+from scoreloom.llm.common import (
+    LAST_ID,
+    column_of,
+    shuffles_released,
+    slices,
+    stored,
+    texts_of,
+)
 
 SPAN = 50
 GRAM = 20
@@ -275,6 +283,8 @@ SNIPPETS = (
     "hash long, snippet binary, doc long, twin long, start long, more array<long>, size long"
 )
 SPANS = "doc long, twin long, start long, end long"
+# Spans, and the snippets of groups beyond the limit, whose windows are compared after.
+FOUND = f"{SPANS}, snippet binary, more array<long>"
 
 
 def _marks(span: int, gram: int):
@@ -366,10 +376,9 @@ def _snippets(span: int, gram: int):
             lists = column_of(part, "hashes")
             counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             owner = np.repeat(np.arange(len(texts)), counts)
-            skip = column_of(part, "copied").to_numpy(zero_copy_only=False)
             salt = np.arange(len(texts)).astype(np.uint64) << np.uint64(HASH_BITS)
             wanted = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64) | salt[owner]
-            chosen = np.isin(runs.hash | salt[runs.text], wanted[~skip[owner]])
+            chosen = np.isin(runs.hash | salt[runs.text], wanted)
             chosen = np.flatnonzero(chosen)
             found: dict[bytes, dict[int, list[int]]] = {}
             hashes: dict[bytes, int] = {}
@@ -486,8 +495,29 @@ def _groups(batches: Iterator[pa.RecordBatch], block: int, limit: int):
         yield joined(done), False
 
 
-def _ordinary(span: int, block: int, limit: int):
-    """Spans of groups within the limit, and those that need no comparison."""
+def _settled(spans: pa.RecordBatch) -> pa.RecordBatch:
+    """Spans as rows of ``FOUND``."""
+    n = spans.num_rows
+    columns = [*spans.columns, pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(pa.int64()))]
+    return pa.RecordBatch.from_arrays(columns, [*spans.schema.names, "snippet", "more"])
+
+
+def _open(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """Snippets of a group beyond the limit as rows of ``FOUND``, without an end."""
+    return pa.RecordBatch.from_arrays(
+        [
+            *(column_of(rows, c) for c in ("doc", "twin", "start")),
+            pa.nulls(rows.num_rows, pa.int64()),
+            column_of(rows, "snippet").cast(pa.binary()),
+            column_of(rows, "more").cast(pa.list_(pa.int64())),
+        ],
+        ["doc", "twin", "start", "end", "snippet", "more"],
+    )
+
+
+def _compared(span: int, block: int, limit: int):
+    """Spans of groups within the limit and those that need no comparison; the snippets of
+    groups beyond the limit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, hot in _groups(batches, block, limit):
@@ -498,16 +528,19 @@ def _ordinary(span: int, block: int, limit: int):
                     column_of(certain, c).to_numpy() for c in ("doc", "twin", "size")
                 )
                 each, starts = _starts(certain)
-                yield _span_rows(docs[each], twins[each], starts, starts + sizes[each])
+                ends = starts + sizes[each]
+                yield _settled(_span_rows(docs[each], twins[each], starts, ends))
             rest = rows.filter(pa.compute.invert(given)) if certain.num_rows else rows
-            if rest.num_rows > 1 and not hot:
-                yield _block_spans(rest, span)
+            if hot and rest.num_rows:
+                yield _open(rest)
+            elif rest.num_rows > 1:
+                yield _settled(_block_spans(rest, span))
 
     return run
 
 
-def _hot_windows(span: int, block: int, limit: int):
-    """The windows of groups beyond the limit, a row each, in batches of bounded size."""
+def _hot_windows(span: int):
+    """The windows of open snippets, a row each, in batches of bounded size."""
 
     def table(found: list[tuple]) -> pa.RecordBatch:
         whole = pa.int64()
@@ -519,14 +552,12 @@ def _hot_windows(span: int, block: int, limit: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, n = [], 0
-        for rows, hot in _groups(batches, block, limit):
-            if not hot:
-                continue
+        for rows in batches:
             given = [column_of(rows, c) for c in ("snippet", "doc", "twin", "start", "more")]
             for row in zip(*given, strict=True):
                 snippet, doc, twin, start, more = (x.as_py() for x in row)
                 begins = [start, *(more or ())]
-                for i in range(len(snippet or b"") - span + 1):
+                for i in range(len(snippet) - span + 1):
                     found.append((snippet[i : i + span], doc, twin, [b + i for b in begins]))
                     n += len(begins)
                     if n >= WINDOW_STARTS:
@@ -559,12 +590,12 @@ def _later_windows(span: int):
     return run
 
 
-def _cut(names: list[str], text: str):
-    """Add what is left of each text and what was counted."""
+def _cut():
+    """Put what is left in the place of each text, and add its bytes and what was counted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text, SLICE):
-            texts = texts_of(part, text)
+        for part in slices(batches, "text", SLICE):
+            texts = texts_of(part)
             lists = column_of(part, "_spans")
             counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             flat = lists.flatten()
@@ -592,20 +623,22 @@ def _cut(names: list[str], text: str):
                 kept.append(b"".join(pieces))
                 removed.append(gone)
                 spans.append(n)
-            nulls = column_of(part, text).is_null().to_pylist()
+            nulls = column_of(part, "text").is_null().to_pylist()
             left = [
                 None if null else value.decode("utf-8", "ignore")
                 for value, null in zip(kept, nulls, strict=True)
             ]
-            added = {
-                text: pa.array(left, pa.string()),
-                "kept": pa.array(kept, pa.binary()),
-                "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
-                "n_removed": pa.array(removed, pa.int64()),
-                "n_spans": pa.array(spans, pa.int64()),
-            }
-            columns = [added[c] if c in added else column_of(part, c) for c in names]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    column_of(part, "row"),
+                    pa.array(left, pa.string()),
+                    pa.array(kept, pa.binary()),
+                    pa.array([len(t) for t in texts], pa.int64()),
+                    pa.array(removed, pa.int64()),
+                    pa.array(spans, pa.int64()),
+                ],
+                ["row", "text", "kept", "n_bytes", "n_removed", "n_spans"],
+            )
 
     return run
 
@@ -629,11 +662,77 @@ def remove_repeats(
     nothing from each other, whether their texts are equal or not.  A null text is empty;
     texts shorter than ``span`` bytes lose nothing.  All strings are compared as they were in
     the input.  Repeated rows get equal results.  Columns named like the added ones are
-    replaced.
+    replaced; all others keep their names, types and values.
+    """
+    left = _left(documents, key, text, span, gram, block_bytes, group_bytes)
+    added = StructType.fromDDL(ADDED).names
+    names = [c for c in documents.columns if c not in added]
+    return left.select(*(_own(c, text) for c in names), *added)
+
+
+def _own(name: str, text: str) -> Column:
+    """A column of the caller, out of the rows of ``_left``."""
+    return (F.col("text") if name == text else F.col("row").getField(name)).alias(name)
+
+
+def _left(
+    documents: DataFrame,
+    key: str,
+    text: str,
+    span: int,
+    gram: int = GRAM,
+    block_bytes: int = BLOCK_BYTES,
+    group_bytes: int = GROUP_BYTES,
+) -> DataFrame:
+    """row (the caller's columns but the text), text (what is left) and the columns of ``ADDED``.
+
+    Hashes, candidates and spans are written one after the other, and the files of the shuffles
+    before are let go, so that the disk holds those of one step at a time.
     """
-    added = StructType.fromDDL(ADDED)
-    names = [c for c in documents.columns if c not in added.names]
     doc = F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(LAST_ID))
+    with shuffles_released(documents.sparkSession):
+        spans, twin, gathered = _found_spans(
+            documents, doc, text, span, gram, block_bytes, group_bytes
+        )
+    later = (
+        spans.filter("snippet IS NOT NULL")
+        .repartition("doc", "start")
+        .mapInArrow(_hot_windows(span), "window binary, doc long, twin long, starts array<long>")
+        .repartition("window")
+        .sortWithinPartitions("window", "doc")
+        .mapInArrow(_later_windows(span), SPANS)
+    )
+    by_text = (
+        spans.filter("end IS NOT NULL")
+        .select("doc", "twin", "start", "end")
+        .union(later)
+        .groupBy("doc", "twin")
+        .agg(gathered(F.struct("start", "end")).alias("_spans"))
+    )
+    others = [F.col(f"`{c}`") for c in documents.columns if c != text]
+    rows = documents.select(
+        F.struct(*others).alias("row"),
+        F.col(f"`{text}`").alias("text"),
+        doc.alias("doc"),
+        twin.alias("twin"),
+    )
+    joined = rows.join(by_text, ["doc", "twin"], "left").select("row", "text", "_spans")
+    fields = StructType.fromDDL(ADDED).fields
+    schema = StructType([*rows.select("row", "text").schema.fields, *fields])
+    return joined.mapInArrow(_cut(), schema)
+
+
+def _found_spans(
+    documents: DataFrame,
+    doc: Column,
+    text: str,
+    span: int,
+    gram: int,
+    block_bytes: int,
+    group_bytes: int,
+) -> tuple[DataFrame, Column, Callable[[Column], Column]]:
+    """The written rows of ``FOUND``; what tells texts of one key apart; how to gather their spans."""
+    spark = documents.sparkSession
     repeated_keys = documents.groupBy(doc.alias("doc")).count().filter("count > 1")
     # Texts of one key are told apart by a hash, which is left out where keys are unique.
     # Repeated rows then bring equal hashes and spans, which are kept once.
@@ -642,11 +741,8 @@ def remove_repeats(
     if not repeated_keys.isEmpty():
         gathered = F.collect_set
         twin = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
-    rows = documents.select(
-        *(f"`{c}`" for c in names), doc.alias("_doc"), twin.alias("_twin")
-    )
-    plain = rows.select(
-        F.col("_doc").alias("doc"), F.col("_twin").alias("twin"), F.col(f"`{text}`").alias("text")
+    plain = documents.select(
+        doc.alias("doc"), twin.alias("twin"), F.col(f"`{text}`").alias("text")
     )
 
     # Whole copies of a document with a smaller id.
@@ -660,84 +756,52 @@ def remove_repeats(
     copies = digests.join(least.filter("n > 1"), "digest").filter("doc > least")
     copies = stored(copies.select("doc", "twin", "size"), "copies")
 
-    marks = stored(plain.mapInArrow(_marks(span, gram), LISTED), "marks")
+    held = as_table(plain.mapInArrow(_marks(span, gram), LISTED), "marks")
+    marks = spark.table(held)
     each = F.explode("hashes").alias("hash")
     asked = marks.filter("NOT answered").select(each, "doc", "twin")
     shared = asked.repartition("hash").sortWithinPartitions("hash").mapInArrow(_shared, MARKS)
     known = marks.filter("answered").select(each, "doc", "twin")
     none = F.lit(None).cast("long")
     # Of one key and one distinct text each, so that many texts under a key are no single row.
-    candidates = (
+    # Whole copies go without comparison.
+    candidates = stored(
         shared.filter("doc IS NOT NULL")
         .union(known)
         .select("doc", "twin", "hash", F.lit(False).alias("copy"))
         .union(copies.select("doc", "twin", none.alias("hash"), F.lit(True).alias("copy")))
         .groupBy("doc", "twin")
-        .agg(gathered("hash").alias("_hashes"), F.max("copy").alias("_copied"))
-        .withColumnsRenamed({"doc": "_candidate", "twin": "_candidate_twin"})
+        .agg(gathered("hash").alias("hashes"), F.max("copy").alias("copied"))
+        .filter("NOT copied")
+        .drop("copied"),
+        "candidates",
     )
-    # Both joins take the same columns of the documents, so that one shuffle of them serves both.
-    joined = rows.join(
-        candidates,
-        (F.col("_doc") == F.col("_candidate")) & (F.col("_twin") == F.col("_candidate_twin")),
-    )
-    snippets = joined.mapInArrow(_renamed(_snippets(span, gram), text), SNIPPETS)
+    drop(spark, held)
+    snippets = plain.join(candidates, ["doc", "twin"]).mapInArrow(_snippets(span, gram), SNIPPETS)
     grouped = snippets.repartition("hash").sortWithinPartitions("hash")
-    ordinary = grouped.mapInArrow(_ordinary(span, block_bytes, group_bytes), SPANS)
-    hot = grouped.mapInArrow(
-        _hot_windows(span, block_bytes, group_bytes),
-        "window binary, doc long, twin long, starts array<long>",
-    )
-    later = (
-        hot.repartition("window")
-        .sortWithinPartitions("window", "doc")
-        .mapInArrow(_later_windows(span), SPANS)
-    )
+    compared = grouped.mapInArrow(_compared(span, block_bytes, group_bytes), FOUND)
     whole = copies.select(
-        "doc", "twin", F.lit(0).cast("long").alias("start"), F.col("size").alias("end")
-    )
-    spans = (
-        ordinary.union(later)
-        .union(whole)
-        .groupBy("doc", "twin")
-        .agg(gathered(F.struct("start", "end")).alias("_spans"))
-        .withColumnsRenamed({"doc": "_spanned", "twin": "_spanned_twin"})
+        "doc",
+        "twin",
+        F.lit(0).cast("long").alias("start"),
+        F.col("size").alias("end"),
+        F.lit(None).cast("binary").alias("snippet"),
+        F.lit(None).cast("array<long>").alias("more"),
     )
-    cut = rows.join(
-        spans,
-        (F.col("_doc") == F.col("_spanned")) & (F.col("_twin") == F.col("_spanned_twin")),
-        "left",
-    )
-    kept = documents.select(*(f"`{c}`" for c in names)).schema.fields
-    schema = StructType([*kept, *added.fields])
-    return cut.mapInArrow(_cut(schema.names, text), schema)
-
-
-def _renamed(function, text: str):
-    """``function`` over batches in which the columns have the names it knows."""
-    known = {"_doc": "doc", "_twin": "twin", text: "text", "_hashes": "hashes", "_copied": "copied"}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def picked() -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield pa.RecordBatch.from_arrays(
-                    [column_of(batch, c) for c in known], list(known.values())
-                )
-
-        return function(picked())
-
-    return run
+    return stored(compared, "spans").union(whole), twin, gathered
 
 
 def without_repeats(documents: DataFrame, key: str = "doc_id", span: int = SPAN) -> DataFrame:
     """The documents, with their columns and the repeated bytes taken out of ``text``.
 
     A text of which nothing is left stays as an empty one.  n_chars, if there is such a column,
-    counts what is left of the texts that lost something.
+    counts what is left of the texts that lost something.  All other columns stay as they are,
+    whatever their names.
     """
-    left = remove_repeats(documents, key, "text", span)
-    if "n_chars" in documents.columns:
+    left = _left(documents, key, "text", span)
+    columns = {c: _own(c, "text") for c in documents.columns}
+    if "n_chars" in columns:
         counted = F.char_length("text").cast(documents.schema["n_chars"].dataType)
-        cut = F.when(F.col("n_removed") > 0, counted).otherwise(F.col("n_chars"))
-        left = left.withColumn("n_chars", cut)
-    return left.select(*(f"`{c}`" for c in documents.columns))
+        cut = F.when(F.col("n_removed") > 0, counted).otherwise(columns["n_chars"])
+        columns["n_chars"] = cut.alias("n_chars")
+    return left.select(*columns.values())

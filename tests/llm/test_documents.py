@@ -13,6 +13,7 @@ import pytest
 import xxhash
 
 from scoreloom.llm import bpe, decontaminate, quality, sharding, simhash, suffixes, token_files
+from scoreloom.llm.common import RELEASE_SETTING
 from scoreloom.llm.queries import tokenizer
 from scoreloom.plans.durable import fresh_path
 
@@ -237,7 +238,7 @@ def test_windows_of_large_groups_come_in_batches():
     rows = pa.RecordBatch.from_arrays(
         [pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names
     )
-    parts = list(suffixes._hot_windows(50, 1 << 10, 1 << 11)(iter([rows])))
+    parts = list(suffixes._hot_windows(50)(iter([rows])))
     assert max(p.num_rows for p in parts) <= 50_000
     got = [tuple(r.values()) for p in parts for r in p.to_pylist()]
     want = [(snippet[i : i + 50], 1, 0, [3 + i]) for i in range(len(snippet) - 49)]
@@ -260,6 +261,43 @@ def test_texts_without_repeats_keep_their_columns(spark, documents):
     assert suffixes.without_repeats(documents.limit(0)).isEmpty()
 
 
+CLASHING = (
+    "doc_id long, text string, kept string, n_bytes int, n_removed string, n_spans double, "
+    "n_words int, n_hit string, items int, spans string, row int, doc int, twin string, "
+    "_doc int, _spans string, `a.b` int"
+)
+
+
+def clashing(spark, texts):
+    own = ("k", 1, "r", 0.5, 7, "h", 3, "s", 4, 5, "t", 6, "u", 8)
+    return spark.createDataFrame([(i, t, *own) for i, t in enumerate(texts)], CLASHING)
+
+
+def test_columns_of_the_caller_stay_whatever_their_names(spark):
+    rng = random.Random(2)
+    passage = " ".join(str(rng.getrandbits(40)) for _ in range(12))
+    given = clashing(spark, [f"one {passage}", f"two {passage}", None, "", passage])
+    left = suffixes.without_repeats(given)
+    assert left.schema.simpleString() == given.schema.simpleString()
+    texts = {0: f"one {passage}", 1: "two", 2: None, 3: "", 4: ""}
+    want = [(r["doc_id"], texts[r["doc_id"]], *r[2:]) for r in given.collect()]
+    got = [(r["doc_id"], r["text"] and r["text"].strip(), *r[2:]) for r in left.collect()]
+    assert by_key(got) == by_key(want)
+
+    benchmark = spark.createDataFrame([("b", f"{passage} x")], "item_id string, text string")
+    clean = decontaminate.drop_contaminated(given, benchmark)
+    assert clean.schema.simpleString() == given.schema.simpleString()
+    assert by_key(map(tuple, clean.collect())) == by_key(
+        tuple(r) for r in given.collect() if passage not in (r["text"] or "")
+    )
+
+
+def test_shuffles_are_released_and_the_setting_is_restored(spark, documents):
+    before = spark.conf.get(RELEASE_SETTING)
+    suffixes.remove_repeats(documents)
+    assert spark.conf.get(RELEASE_SETTING) == before
+
+
 # --- SimHash ----------------------------------------------------------------------------------
 
 
