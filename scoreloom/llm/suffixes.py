@@ -45,6 +45,8 @@ INNER = 4
 # Equal hashes of different strings only add candidates, so they are kept short in the shuffles.
 HASH_BITS = 48
 SLICE = 2 << 20
+PIECE = 1 << 15
+GATHERED = 1 << 18
 BLOCK_BYTES = 1 << 20
 GROUP_BYTES = 32 << 20
 # Windows of a group beyond that are handed on whenever they have so many starts.
@@ -102,6 +104,36 @@ def sliding_minima(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(now[:-rest], now[rest:]) if rest else now
 
 
+def window_minima(data: np.ndarray, span: int, gram: int) -> np.ndarray:
+    """The smallest hash of each window; in pieces whose arrays stay in the processor's cache."""
+    return np.concatenate(
+        [
+            sliding_minima(sampling_order(data[a : a + PIECE + span - 1], gram), span - gram + 1)
+            for a in range(0, len(data) - span + 1, PIECE)
+        ]
+    )
+
+
+def gathered_bytes(data: np.ndarray, at: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """The strings of these places and lengths, of one or more; indexes are held for some at a time."""
+    ends = np.cumsum(lengths)
+    out = np.empty(int(ends[-1]), np.uint8)
+    i = 0
+    while i < len(at):
+        begin = int(ends[i] - lengths[i])
+        j = max(i + 1, int(np.searchsorted(ends, begin + GATHERED, "right")))
+        if j == i + 1:
+            out[begin : ends[i]] = data[at[i] : at[i] + lengths[i]]
+        else:
+            shift = np.repeat(at[i:j] - (ends[i:j] - lengths[i:j]), lengths[i:j])
+            out[begin : ends[j - 1]] = data[np.arange(begin, ends[j - 1]) + shift]
+        i = j
+    offsets = pa.py_buffer(np.r_[0, ends])
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(at), [None, offsets, pa.py_buffer(out)]
+    )
+
+
 class Runs:
     """Runs of windows with one smallest hash, over the texts of a slice.
 
@@ -116,7 +148,7 @@ class Runs:
         self.hash, self.text, self.start, self.size = empty.view(np.uint64), empty, empty, empty
         if len(self.data) < span:
             return
-        minima = sliding_minima(sampling_order(self.data, gram), span - gram + 1)
+        minima = window_minima(self.data, span, gram)
         counts = np.maximum(0, lengths - span + 1)
         owner = np.repeat(np.arange(len(texts)), counts)
         before = np.cumsum(counts) - counts
@@ -380,35 +412,42 @@ def _snippets(span: int, gram: int):
             wanted = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64) | salt[owner]
             chosen = np.isin(runs.hash | salt[runs.text], wanted)
             chosen = np.flatnonzero(chosen)
-            found: dict[bytes, dict[int, list[int]]] = {}
-            hashes: dict[bytes, int] = {}
-            for text, start, size, value in zip(
-                runs.text[chosen].tolist(),
-                runs.start[chosen].tolist(),
-                runs.size[chosen].tolist(),
-                runs.hash[chosen].view(np.int64).tolist(),
-                strict=True,
-            ):
-                snippet = texts[text][start : start + size - 1 + span]
-                found.setdefault(snippet, {}).setdefault(text, []).append(start)
-                hashes[snippet] = value
-            rows: list[tuple] = []
-            for snippet, by_text in found.items():
-                least = min(int(docs[t]) for t in by_text)
-                for t, starts in by_text.items():
-                    row = (int(docs[t]), int(twins[t]), starts[0], starts[1:] or None)
-                    if row[0] == least:
-                        rows.append((hashes[snippet], snippet, *row, 0))
-                    else:
-                        rows.append((row[0] * 0x9E3779B1 % LAST_ID, None, *row, len(snippet)))
-            if rows:
-                columns = list(zip(*rows, strict=True))
-                whole = pa.int64()
-                kinds = [whole, pa.binary(), whole, whole, whole, pa.list_(whole), whole]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                    ["hash", "snippet", "doc", "twin", "start", "more", "size"],
-                )
+            if not len(chosen):
+                continue
+            at = runs.offsets[runs.text[chosen]] + runs.start[chosen]
+            lengths = runs.size[chosen] - 1 + span
+            coded = gathered_bytes(runs.data, at, lengths).dictionary_encode()
+            # By snippet, then as they came: by text and start.
+            code = coded.indices.to_numpy()
+            order = np.argsort(code, kind="stable")
+            code, chosen, lengths = code[order], chosen[order], lengths[order]
+            text, start = runs.text[chosen], runs.start[chosen]
+            new = np.r_[True, (code[1:] != code[:-1]) | (text[1:] != text[:-1])]
+            first = np.flatnonzero(new)
+            code, doc, counts = code[first], docs[text[first]], np.diff(np.r_[first, len(new)])
+            least = np.full(len(coded.dictionary), LAST_ID)
+            np.minimum.at(least, code, doc)
+            own = doc == least[code]
+            spread = (doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(1)).view(
+                np.int64
+            )
+            more = pa.ListArray.from_arrays(
+                pa.array(np.r_[0, np.cumsum(counts - 1)], pa.int32()),
+                pa.array(start[~new]),
+                mask=pa.array(counts == 1),
+            )
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.where(own, runs.hash[chosen[first]].view(np.int64), spread)),
+                    coded.dictionary.take(pa.array(code, mask=~own)).cast(pa.binary()),
+                    pa.array(doc),
+                    pa.array(twins[text[first]]),
+                    pa.array(start[first]),
+                    more,
+                    pa.array(np.where(own, 0, lengths[first])),
+                ],
+                ["hash", "snippet", "doc", "twin", "start", "more", "size"],
+            )
 
     return run
 
@@ -431,6 +470,22 @@ def _starts(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return each[order], starts[order]
 
 
+def _whole_spans(rows: pa.RecordBatch, sizes: np.ndarray) -> pa.RecordBatch:
+    """Spans of snippets that go as they are."""
+    docs, twins = (column_of(rows, c).to_numpy() for c in ("doc", "twin"))
+    each, starts = _starts(rows)
+    return _span_rows(docs[each], twins[each], starts, starts + sizes[each])
+
+
+def _later_equals(rows: pa.RecordBatch) -> np.ndarray:
+    """Whether a smaller id has a snippet equal to the row's: all its windows then go."""
+    coded = column_of(rows, "snippet").dictionary_encode()
+    code, docs = coded.indices.to_numpy(), column_of(rows, "doc").to_numpy()
+    least = np.full(len(coded.dictionary), LAST_ID)
+    np.minimum.at(least, code, docs)
+    return docs > least[code]
+
+
 def _block_spans(rows: pa.RecordBatch, span: int) -> pa.RecordBatch:
     """Spans that go, of whole groups of snippets."""
     snippets = column_of(rows, "snippet").to_pylist()
@@ -524,14 +579,17 @@ def _compared(span: int, block: int, limit: int):
             given = column_of(rows, "snippet").is_null()
             certain = rows.filter(given)
             if certain.num_rows:
-                docs, twins, sizes = (
-                    column_of(certain, c).to_numpy() for c in ("doc", "twin", "size")
-                )
-                each, starts = _starts(certain)
-                ends = starts + sizes[each]
-                yield _settled(_span_rows(docs[each], twins[each], starts, ends))
+                yield _settled(_whole_spans(certain, column_of(certain, "size").to_numpy()))
             rest = rows.filter(pa.compute.invert(given)) if certain.num_rows else rows
-            if hot and rest.num_rows:
+            if not rest.num_rows:
+                continue
+            later = _later_equals(rest)
+            if later.any():
+                gone = rest.filter(pa.array(later))
+                sizes = pa.compute.binary_length(column_of(gone, "snippet")).to_numpy()
+                yield _settled(_whole_spans(gone, sizes.astype(np.int64)))
+                rest = rest.filter(pa.array(~later))
+            if hot:
                 yield _open(rest)
             elif rest.num_rows > 1:
                 yield _settled(_block_spans(rest, span))
