@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,7 +35,11 @@ from scoreloom.llm.common import column_of, per_process, slices
 from scoreloom.plans.durable import fresh_path
 
 KEPT_PIECES = 600_000
+KEPT_LETTERS = 256
+# A letter that no plain text has.
+START = "\r"
 BLOCK_IDS = 1 << 18
+NULL_KEY = -(1 << 63)
 SLICE = 4 << 20
 # The pre-tokenizer this module can stand in for, and its pattern.
 PRE_TOKENIZER = {
@@ -47,6 +52,10 @@ WORD = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 
+# White space other than single spaces and line ends between words.
+SPACES = "\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+OTHER_SPACE = rf"\A\z|[{SPACES}]|[ \n][ \n]|\A[ \n]|[ \n]\z"
+
 BLOCKS = "part int, before long, keys array<long>, sizes array<long>, control binary, data binary"
 CODED = "part int, key long, tie long, size long, control binary, data binary"
 
@@ -74,82 +83,96 @@ class PieceEncoder:
         self.special = [t["content"] for t in given["added_tokens"]]
         self.letters = {chr(b): c for b, c in byte_letters().items()}
         self.table = str.maketrans(self.letters)
+        self.space = self.letters[" "]
         self.kept = kept
         self.words: dict[str, bytes] = {}
-        # Pieces at the start of a line, and those with a space before them.
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+        # Pieces after a space, or with START or the line end that stands before them.
+        self.pieces: dict[str, bytes] = {}
         self.line_end = self._whole("\n")
 
     def _whole(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
-    def lines(self, text: str) -> list[list[str]] | None:
-        """The words of each line; None if there is other white space than single spaces and
-        line ends between words, or a special token.
+    def plain(self, texts: pa.Array) -> np.ndarray:
+        """Whether only single spaces and line ends stand between the words of a text, and no
+        special token in it.
 
         The tokenizer's pattern never joins such a space or line end to what stands before it.
         """
-        if " ".join(text.split()) != text.replace("\n", " ") or not text:
-            return None
-        if any(s in text for s in self.special):
-            return None
-        return [line.split(" ") for line in text.split("\n")]
-
-    def _learn(self, pieces: set[str], known: dict[str, bytes], before: str) -> None:
-        """Cut the new pieces into the tokenizer's words, and encode each new word once."""
-        new = [p for p in pieces if p not in known]
-        if len(known) + len(new) > self.kept:
-            known.clear()
-            new = list(pieces)
-        for piece in new:
-            # Mostly a word of letters, or one with a sign after it.
-            if piece.isalpha():
-                known[piece] = self._word(before + piece)
-            elif piece[:-1].isalpha() and piece[-1] in ".,;:!?":
-                head = known.get(piece[:-1]) or self._word(before + piece[:-1])
-                known[piece] = head + self._kept_word(piece[-1])
-            else:
-                parts = map(self._kept_word, WORD.findall(before + piece))
-                known[piece] = b"".join(parts)
+        other = pc.match_substring_regex(texts, OTHER_SPACE)
+        for special in self.special:
+            other = pc.or_(other, pc.match_substring(texts, special))
+        return ~other.to_numpy(zero_copy_only=False)
+
+    def _learn(self, piece: str) -> bytes:
+        """Cut a piece into the tokenizer's words."""
+        ids, word, space = b"", piece, " "
+        if piece[0] == "\n" or piece[0] == START:
+            ids, word, space = self.line_end if piece[0] == "\n" else b"", piece[1:], ""
+        # Mostly a word of letters, or one with a sign after it.
+        if word.isalpha():
+            ids += self._word(space + word)
+        elif word[:-1].isalpha() and word[-1] in ".,;:!?":
+            ids += self._kept_word(space + word[:-1]) + self._kept_word(word[-1])
+        else:
+            ids += b"".join(map(self._kept_word, WORD.findall(space + word)))
+        if len(piece) <= KEPT_LETTERS:
+            if len(self.pieces) >= self.kept:
+                self.pieces.clear()
+            self.pieces[piece] = ids
+        return ids
 
     def _kept_word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
-            if len(self.words) > self.kept:
-                self.words.clear()
-            ids = self.words[word] = self._word(word)
+            ids = self._word(word)
+            if len(word) <= KEPT_LETTERS:
+                if len(self.words) >= self.kept:
+                    self.words.clear()
+                self.words[word] = ids
         return ids
 
     def _word(self, word: str) -> bytes:
-        letters = word.encode().decode("latin-1").translate(self.table)
+        if word.isascii() and word[1:].isalpha() and word[0] == " ":
+            letters = self.space + word[1:]
+        else:
+            letters = word.encode().decode("latin-1").translate(self.table)
         bytes_of = self.bytes_of
         return b"".join([bytes_of[t.id] for t in self.model.tokenize(letters)])
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        cut = [self.lines(t) for t in texts]
-        firsts: set[str] = set()
-        later: set[str] = set()
-        for lines in cut:
-            for line in lines or ():
-                firsts.add(line[0])
-                later.update(line[1:])
-        self._learn(firsts, self.first, "")
-        self._learn(later, self.later, " ")
-        first, known, out = self.first, self.later, []
-        for text, lines in zip(texts, cut, strict=True):
-            if lines is None:
-                out.append(self._whole(text) if text else b"")
-                continue
-            parts = []
-            for line in lines:
-                parts.append(first[line[0]])
-                parts += [known[w] for w in line[1:]]
-                parts.append(self.line_end)
-            parts.pop()
-            out.append(b"".join(parts))
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Little-endian 32-bit ids of each text; a null has none."""
+        texts = pc.fill_null(texts, "")
+        plain = self.plain(texts)
+        out: list[bytes] = [b""] * len(texts)
+        for i in np.flatnonzero(~plain).tolist():
+            out[i] = self._whole(texts[i].as_py())
+        chosen = np.flatnonzero(plain)
+        if not len(chosen):
+            return out
+        # A piece keeps what stands before it, START or a line end, unless that is a space.
+        marked = pc.replace_substring(texts.take(pa.array(chosen)), "\n", " \n")
+        marked = pc.binary_join_element_wise(START, marked, "")
+        cut = pc.split_pattern(marked, " ")
+        coded = cut.flatten().dictionary_encode()
+        # Without spaces in them, the distinct pieces are handed to Python as one string.
+        distinct = pa.ListArray.from_arrays(
+            pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary
+        )
+        pieces = pc.binary_join(distinct, " ")[0].as_py().split(" ")
+        known, learn = self.pieces, self._learn
+        ids = [known.get(p) or learn(p) for p in pieces]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        begins = np.cumsum(sizes) - sizes
+        code = coded.indices.to_numpy()
+        lengths = sizes[code]
+        ends = np.cumsum(lengths)
+        all_ids = flat[np.arange(int(ends[-1])) + np.repeat(begins[code] - (ends - lengths), lengths)]
+        bounds = np.r_[0, ends][cut.offsets.to_numpy()].tolist()
+        for i, start, end in zip(chosen.tolist(), bounds[:-1], bounds[1:], strict=True):
+            out[i] = all_ids[start:end].tobytes()
         return out
 
 
@@ -159,15 +182,33 @@ class PieceEncoder:
 LENGTHS = np.array([[(c >> 2 * i & 3) + 1 for i in range(4)] for c in range(256)], np.uint8)
 
 
-def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """(control, data) of one document's ranks."""
+def pack_all(ranks: np.ndarray, sizes: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """(control, data) of documents with ``sizes`` ranks each, one after the other in ``ranks``."""
     ranks = ranks.astype("<u4")
     extra = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    padded = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    padded[: len(ranks)] = extra
-    control = padded.reshape(-1, 4) @ np.array([1, 4, 16, 64], np.uint8)
+    # A document's control bytes are filled up to four ids.
+    full = -(-sizes // 4) * 4
+    filled = np.cumsum(full)
+    ends = np.cumsum(sizes)
+    padded = np.zeros(int(filled[-1]), np.uint8)
+    padded[np.arange(len(ranks)) + np.repeat(filled - full - (ends - sizes), sizes)] = extra
+    control = (padded.reshape(-1, 4) @ np.array([1, 4, 16, 64], np.uint8)).astype(np.uint8)
     data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) <= extra[:, None]]
-    return control.astype(np.uint8).tobytes(), data.tobytes()
+    width = np.r_[0, np.cumsum(extra.astype(np.int64) + 1)]
+
+    def cut(ends: np.ndarray, values: np.ndarray) -> pa.Array:
+        offsets = pa.py_buffer(np.r_[0, ends].astype(np.int32))
+        return pa.BinaryArray.from_buffers(
+            pa.binary(), len(ends), [None, offsets, pa.py_buffer(np.ascontiguousarray(values))]
+        )
+
+    return cut(filled // 4, control), cut(width[ends], data)
+
+
+def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
+    """(control, data) of one document's ranks."""
+    control, data = pack_all(ranks, np.array([len(ranks)]))
+    return control[0].as_py(), data[0].as_py()
 
 
 def unpack(sizes: np.ndarray, control: bytes, data: bytes) -> np.ndarray:
@@ -200,9 +241,9 @@ def encode_rows(documents: DataFrame, file: str, end_id: int, key: str, text: st
         end = np.array([end_id], "<u4").tobytes()
         kind = "<u2" if _short(encoder.library.get_vocab_size(), end_id) else "<u4"
         for part in slices(batches, "text", SLICE):
-            texts = [t or "" for t in column_of(part, "text").to_pylist()]
             ids = [
-                np.frombuffer(x + end, "<u4").astype(kind).tobytes() for x in encoder.encode(texts)
+                np.frombuffer(x + end, "<u4").astype(kind).tobytes()
+                for x in encoder.encode(column_of(part, "text"))
             ]
             yield pa.RecordBatch.from_arrays(
                 [column_of(part, "key"), column_of(part, "tie"), pa.array(ids, pa.binary())],
@@ -276,27 +317,33 @@ def write_token_files(
 
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = [i / parts for i in range(1, parts)]
-    found = encoded.agg(F.percentile_approx("key", cuts, 10 * parts)).first()[0] if cuts else None
+    # Null keys come first and have their share of the parts.
+    ordered_key = F.coalesce("key", F.lit(NULL_KEY))
+    edges_of = F.percentile_approx(ordered_key, cuts, 10 * parts)
+    found = encoded.agg(edges_of).first()[0] if cuts else None
     shared = spark.sparkContext.broadcast((rank_of, np.array(found or [], np.int64)))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, edges = shared.value
         for part in slices(batches, "ids", SLICE):
             keys, ties = column_of(part, "key"), column_of(part, "tie").to_numpy()
-            values = keys.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
+            values = keys.fill_null(NULL_KEY).to_numpy(zero_copy_only=False)
             # A key that holds several parts is spread over them by the hash of the text.
             low, high = np.searchsorted(edges, values), np.searchsorted(edges, values, "right")
             places = low + (ties.view(np.uint64) % (high - low + 1).astype(np.uint64)).astype(int)
-            own = [ranks[np.frombuffer(x, kind)] for x in column_of(part, "ids").to_pylist()]
-            control, data = zip(*map(pack, own), strict=True)
+            own = column_of(part, "ids")
+            sizes = pc.binary_length(own).to_numpy() // np.dtype(kind).itemsize
+            control, data = pack_all(
+                ranks[np.frombuffer(b"".join(own.to_pylist()), kind)], sizes.astype(np.int64)
+            )
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(places.astype(np.int32)),
                     keys,
                     pa.array(ties),
-                    pa.array([len(x) for x in own], pa.int64()),
-                    pa.array(control, pa.binary()),
-                    pa.array(data, pa.binary()),
+                    pa.array(sizes, pa.int64()),
+                    control,
+                    data,
                 ],
                 ["part", "key", "tie", "size", "control", "data"],
             )

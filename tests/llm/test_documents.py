@@ -480,6 +480,40 @@ def test_token_files_round_trip(spark, rows, parts):
     assert by_key(found) == by_key(want)
 
 
+def test_null_keys_are_spread_over_the_parts(spark):
+    given = [(i if i % 3 else None, f"text {i}") for i in range(900)]
+    frame = spark.createDataFrame(given, "doc_id long, text string").repartition(3)
+    path = fresh_path(spark, "token-test")
+    token_files.write_token_files(frame, path, tokenizer("byte_bpe_50k.json"), 2, parts=9)
+    blocks = spark.read.parquet(f"{path}/blocks").collect()
+    rows_of = defaultdict(int)
+    for block in blocks:
+        rows_of[block["part"]] += len(block["keys"])
+    assert sum(rows_of.values()) == 900 and max(rows_of.values()) < 200
+    keys = [r["key"] for r in sorted(
+        token_files.read_token_files(spark, path).collect(), key=lambda r: r["start"]
+    )]
+    assert keys == [None] * 300 + [i for i in range(900) if i % 3]
+
+
+def test_pieces_are_encoded_like_the_whole_text():
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    letters = "ab é\n \t\r\u3000\x85\x1c.,'s1\u0663\u65e5<>|\U0001f600"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 12))) for _ in range(5000)]
+    texts += ["it's a'b 's x\n'll y", "a\nb c\nd e.", "<|endoftext|>", "w" * 300 + " w" * 300]
+    encoder = token_files.PieceEncoder(tokenizer("byte_bpe_50k.json"), kept=50)
+    of = library("byte_bpe_50k.json")
+    got = encoder.encode(pa.array([*texts, None]))
+    assert got.pop() == b""
+    for text, ids in zip(texts, got, strict=True):
+        want = of.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want
+    assert len(encoder.pieces) <= 50 and len(encoder.words) <= 50
+    assert max(map(len, encoder.pieces)) <= 256
+
+
 def test_control_and_data_bytes_round_trip():
     rng = np.random.default_rng(0)
     for _ in range(100):
