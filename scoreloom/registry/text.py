@@ -11,6 +11,7 @@ from scoreloom.plans.spreading import spread_scan
 from scoreloom.registry import inputs
 from scoreloom.registry.base import joined, register, table, with_ctes
 from scoreloom.registry.inputs import CORPUS_SQL, TWEETS_SQL
+from scoreloom.registry.stem_sql import stems_cte
 from scoreloom.sources import readers
 
 WS = tx.WHITESPACE
@@ -169,7 +170,13 @@ def read_tweets_notebook(spark, sf_dir):
     return readers.read_tweets_notebook(spark, path)
 
 
-@register("stem_vocabulary")
+STEMS_SQL = stems_cte("(SELECT DISTINCT unnest(tokens) AS token FROM docs)")
+
+
+@register(
+    "stem_vocabulary",
+    with_ctes(CORPUS_SQL, TOKENS_SQL, STEMS_SQL, select="SELECT token, stem FROM stems"),
+)
 def stem_vocabulary(spark, sf_dir):
     return ops.stem_vocabulary(corpus_docs(spark, sf_dir))
 
@@ -205,7 +212,18 @@ def lemmatize_vocabulary(spark, sf_dir):
     return lemmatized.select("id", joined("tokens").alias("result"))
 
 
-@register("preprocess_corpus")
+@register(
+    "preprocess_corpus",
+    with_ctes(
+        CORPUS_SQL, TOKENS_SQL, STEMS_SQL,
+        """placed AS (SELECT doc_id, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS nth
+                      FROM docs),
+           stemmed AS (SELECT doc_id, string_agg(stem, ' ' ORDER BY nth) AS result
+                       FROM placed JOIN stems USING (token) GROUP BY doc_id)""",
+        select="""SELECT doc_id, label, coalesce(result, '') AS tokens
+                  FROM docs LEFT JOIN stemmed USING (doc_id)""",
+    ),
+)
 def preprocess_corpus(spark, sf_dir):
     return corpus_docs(spark, sf_dir, stem=True).withColumn("tokens", joined("tokens"))
 

@@ -127,3 +127,23 @@ def test_summary_and_histogram(spark):
     assert [tuple(r) for r in corpus.category_histogram(docs, "category").collect()] == [
         ("x", 2), ("y", 1)
     ]
+
+
+def test_stems_of_the_sql_twin():
+    import duckdb
+
+    from scoreloom.functions import stemming
+    from scoreloom.registry.stem_sql import stems_cte
+
+    heads = ["", "y", "yy", "ay", "sky", "tr", "tree", "oats", "hop", "fil", "cri", "syzyg",
+             "toy", "yyy", "controll", "prob", "roll", "fiv", "box", "xvii", "q1z", "adopt"]
+    tails = [s for s, _ in stemming.DERIVATIONAL + stemming.ADJECTIVAL] + [
+        *stemming.RESIDUAL, "", "s", "ss", "sses", "ies", "ied", "eed", "ed", "ing", "ationalli",
+        "ating", "bled", "izing", "tted", "lling", "ssed", "zzing", "y", "ay", "e", "ll", "lle",
+    ]
+    words = {h + t + e for h in heads for t in tails for e in ("", "s", "ed", "ing", "ly")}
+    words = sorted((words | set(stemming.IRREGULAR)) - {""})
+    db = duckdb.connect()
+    db.execute("CREATE TABLE words AS SELECT unnest(?) AS token", [words])
+    got = dict(db.execute(f"WITH {stems_cte('words')} SELECT token, stem FROM stems").fetchall())
+    assert got == {word: porter_stem(word) for word in words}
