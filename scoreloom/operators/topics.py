@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.functions.text import counted
 from scoreloom.operators.terms import TermModel, fit_terms
+from scoreloom.plans.durable import cut
 from scoreloom.plans.ordering import MAX_GROUP_ROWS, place_in_group
 from scoreloom.plans.spreading import spread
 from scoreloom.plans.unfolding import unfold
@@ -32,8 +33,9 @@ def build_vocabulary(docs: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> D
     tokens = per_doc.groupBy("token").agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum("n").alias("n_tokens")
     )
+    # Written once: counting the rows, slicing and numbering would each tokenise the texts again.
     placed = place_in_group(
-        tokens, [], [F.asc("token")], place="_place", max_group_rows=max_group_rows
+        cut(tokens), [], [F.asc("token")], place="_place", max_group_rows=max_group_rows
     )
     return placed.select("token", (F.col("_place") - 1).alias("token_id"), "n_docs", "n_tokens")
 

@@ -101,3 +101,22 @@ def test_experiment(docs):
     assert stacked.count() == 2 * 90
     accuracy = scoring.accuracy(stacked).collect()
     assert len(accuracy) == 4 and all(r["accuracy"] > 0.8 for r in accuracy)
+
+
+def test_numbering_words_tokenises_each_text_once(spark):
+    from scoreloom.operators import features
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def cut_up(text):
+        seen.add(1)
+        return text.split()
+
+    texts = spark.createDataFrame([(i, f"w{i} w{i % 7} the") for i in range(40)], "doc_id INT, t STRING")
+    docs = texts.select("doc_id", cut_up("t").alias("tokens"))
+    got = topics.build_vocabulary(docs, max_group_rows=10).collect()
+    assert len(got) == 41 and seen.value == 40
+    words = docs.select(F.explode("tokens").alias("token")).distinct()
+    ids = features.word_ids(words, max_group_rows=10).orderBy("word_id").collect()
+    assert [r["token"] for r in ids] == sorted(r["token"] for r in ids) and seen.value == 80
