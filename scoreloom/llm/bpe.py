@@ -40,7 +40,12 @@ class WordTrie:
         self.ids = vocabulary
         self.ranks = {pair: rank for rank, pair in enumerate(merges)}
         self.end = end
-        self.longest = max(map(len, vocabulary), default=1)
+        # By the last character and the mark: the lengths of the entries, longest first.
+        ends: dict[str, set[int]] = {}
+        for token in vocabulary:
+            body = token.removesuffix(end) if end and token != end else token
+            ends.setdefault(body[-1] + token[len(body) :], set()).add(len(body))
+        self.lengths = {last: sorted(found, reverse=True) for last, found in ends.items()}
         self.compatible: dict[tuple[str, str], bool] = {}
         self.symbols: dict[str, tuple[str, ...]] = {}
 
@@ -114,7 +119,10 @@ class WordTrie:
     def _last(self, word: str, states: list[str], end: int, mark: str) -> str:
         """The last token of ``word[:end]``, whose last character carries ``mark``."""
         ids = self.ids
-        for start in range(max(0, end - self.longest), end):
+        for length in self.lengths.get(word[end - 1] + mark, ()):
+            start = end - length
+            if start < 0:
+                continue
             token = word[start:end] + mark
             if token in ids and (self.fits(states[start - 1], token) if start else self.whole(token)):
                 return token

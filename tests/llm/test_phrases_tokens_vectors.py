@@ -274,3 +274,19 @@ def test_deviation_beyond_a_long_is_null_and_exact_as_decimal(spark):
     for row in got.collect():
         assert row["deviation"] is None
         assert row["deviation_exact"] == Decimal((1 << 50) ** 2)
+
+
+def test_the_trie_looks_up_only_lengths_that_end_as_the_prefix_does():
+    class Counted(dict):
+        looked = 0
+
+        def __contains__(self, key):
+            Counted.looked += 1
+            return super().__contains__(key)
+
+    merges = [("a", "b"), ("ab", "a"), ("aba", "b"), ("abab", "ab"), ("ababab", "c</w>")]
+    tokens = ["a", "b", "x", "x</w>", "c</w>", *(a + b for a, b in merges)]
+    trie = bpe.WordTrie(Counted({t: i for i, t in enumerate(tokens)}), merges, "</w>")
+    assert trie.encode(["x" * 30]) == {"x" * 30: ["x"] * 29 + ["x</w>"]}
+    assert Counted.looked == 30
+    assert trie.encode(["abababc"]) == {"abababc": ["ababab" + "c</w>"]}
