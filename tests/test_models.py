@@ -117,6 +117,6 @@ def test_numbering_words_tokenises_each_text_once(spark):
     docs = texts.select("doc_id", cut_up("t").alias("tokens"))
     got = topics.build_vocabulary(docs, max_group_rows=10).collect()
     assert len(got) == 41 and seen.value == 40
-    words = docs.select(F.explode("tokens").alias("token")).distinct()
+    words = docs.select(F.explode_outer("tokens").alias("token")).distinct()
     ids = features.word_ids(words, max_group_rows=10).orderBy("word_id").collect()
     assert [r["token"] for r in ids] == sorted(r["token"] for r in ids) and seen.value == 80
