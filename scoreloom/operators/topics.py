@@ -5,12 +5,12 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from scoreloom.functions.text import counted
+from scoreloom.operators import lda
 from scoreloom.operators.terms import TermModel, fit_terms
 from scoreloom.plans.durable import cut
 from scoreloom.plans.ordering import MAX_GROUP_ROWS, place_in_group
@@ -53,7 +53,7 @@ def doc_to_bow(docs: DataFrame, key: str) -> DataFrame:
 @dataclass
 class TopicModel:
     terms: TermModel
-    lda: LDAModel
+    weights: lda.TopicWeights
 
 
 def fit_topics(
@@ -72,25 +72,23 @@ def fit_topics(
     docs = docs.select(F.col("tokens").alias("terms"))
     terms = fit_terms(docs, slots)
     n_docs = docs.count()
-    counts = spread(terms.transform(docs).select("features"), n_docs, ROWS_PER_TASK).persist()
-    try:
-        lda = LDA(
-            k=k,
-            optimizer="online",
-            seed=seed,
-            subsamplingRate=rate,
-            maxIter=math.ceil(passes / rate),
-        )
-        return TopicModel(terms, lda.fit(counts))
-    finally:
-        counts.unpersist()
+    counts = spread(terms.transform(docs).select("features"), n_docs, ROWS_PER_TASK)
+    updates = math.ceil(passes / rate)
+    size = len(terms.vocabulary)
+    return TopicModel(terms, lda.fit(counts, "features", size, n_docs, k, updates, rate, seed))
 
 
 def document_topics(model: TopicModel, docs: DataFrame) -> DataFrame:
     """Probability of each topic per document; those under the minimum become 0."""
-    scored = model.lda.transform(model.terms.transform(docs.withColumnRenamed("tokens", "terms")))
-    probabilities = vector_to_array("topicDistribution")
-    long = scored.select("doc_id", "label", F.posexplode_outer(probabilities).alias("topic", "p"))
+    counted_docs = model.terms.transform(docs.withColumnRenamed("tokens", "terms"))
+    fields = [docs.schema["doc_id"], docs.schema["label"]]
+    fields.append(StructField("_shares", ArrayType(DoubleType())))
+    scored = docs.sparkSession.createDataFrame(
+        lda.distributions(model.weights, counted_docs, "features", "doc_id", "label"),
+        StructType(fields),
+        verifySchema=False,
+    )
+    long = scored.select("doc_id", "label", F.posexplode_outer("_shares").alias("topic", "p"))
     return long.select(
         "doc_id",
         "label",
@@ -114,15 +112,12 @@ def dominant_topic(averages: DataFrame) -> DataFrame:
 
 def topic_top_words(model: TopicModel, n: int = 10) -> DataFrame:
     """The ``n`` most probable words of each topic; k x n rows."""
-    described = model.lda.describeTopics(n)
     rows = [
-        (row["topic"], place, model.terms.name(index), float(weight))
-        for row in described.collect()
-        for place, (index, weight) in enumerate(
-            zip(row["termIndices"], row["termWeights"], strict=True), start=1
-        )
+        (topic, place, model.terms.name(index), weight)
+        for topic, best in enumerate(lda.top_terms(model.weights, n))
+        for place, (index, weight) in enumerate(best, start=1)
     ]
-    return described.sparkSession.createDataFrame(
+    return SparkSession.active().createDataFrame(
         rows, "topic INT, place INT, word STRING, probability DOUBLE"
     )
 

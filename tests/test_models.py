@@ -120,3 +120,13 @@ def test_numbering_words_tokenises_each_text_once(spark):
     words = docs.select(F.explode_outer("tokens").alias("token")).distinct()
     ids = features.word_ids(words, max_group_rows=10).orderBy("word_id").collect()
     assert [r["token"] for r in ids] == sorted(r["token"] for r in ids) and seen.value == 80
+
+
+def test_topic_weights_stay_in_blocks(docs):
+    model = topics.fit_topics(docs, k=3, passes=5)
+    blocks = dict(model.weights.blocks.mapValues(lambda x: x[1]).collect())
+    assert len(blocks) == model.weights.n_blocks > 1
+    assert sum(len(b) for b in blocks.values()) == len(model.terms.vocabulary) == 15
+    total = sum(b.sum(0) for b in blocks.values())
+    assert abs(total / model.weights.total - 1).max() < 1e-9
+    assert all(b.min() > 0 for b in blocks.values())
