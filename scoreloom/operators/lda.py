@@ -5,20 +5,24 @@ blocks for the rows of the words it drew, infers its documents' topics, and send
 it found for these rows; the blocks are updated where they are.  The driver holds a number
 for each topic only.  The rates and the update of the documents' prior are those of the
 published algorithm, as pyspark.ml has them.
+
+What an update leaves on disk goes once the next one stands: files of its shuffles, held
+partitions, and the checkpoint before the last.  Rows of words are made where the blocks are
+and go straight to their shuffle; neither held partitions nor checkpoints have them.
 """
 
 from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark import RDD, StorageLevel, cloudpickle
 from pyspark.sql import DataFrame
 
-from scoreloom.plans.durable import shared_folder
+from scoreloom.plans.durable import drop_checkpoint, release_shuffles, shared_folder
 
 # The code of the tasks travels with the plan: executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -28,6 +32,8 @@ LEAST_BLOCKS = 8
 TAU, KAPPA = 1024.0, 0.51
 CHANGE = 1e-3
 CHECKPOINT_EVERY = 20
+# Partitions of documents whose topics are found at once.
+PARTS_AT_ONCE = 8
 
 
 def digamma(x: np.ndarray) -> np.ndarray:
@@ -67,19 +73,25 @@ class TopicWeights:
     alpha: np.ndarray
 
 
-def documents_of(rows: DataFrame, features: str, *kept: str) -> RDD:
-    """A (partition, documents) pair for each partition."""
+def documents_of(
+    rows: DataFrame, features: str, *kept: str, parts: range | None = None
+) -> RDD:
+    """A (partition, documents) pair for each partition, or for those in ``parts``."""
 
     def gather(at: int, part: Iterator) -> Iterator[tuple[int, Documents]]:
+        if parts is not None and at not in parts:
+            return
         sizes, columns, counts, others = [0], [], [], []
         for vector, *other in part:
             sizes.append(len(vector.indices))
             columns.append(vector.indices)
-            counts.append(vector.values)
+            counts.append(vector.values.astype(np.float32))
             others.append(tuple(other))
         none = np.zeros(0, np.int32)
         yield at, Documents(
-            np.cumsum(sizes), np.concatenate([none, *columns]), np.concatenate([none, *counts]),
+            np.cumsum(sizes),
+            np.concatenate([none, *columns]),
+            np.concatenate([none.astype(np.float32), *counts]),
             others if kept else [],
         )
 
@@ -122,8 +134,8 @@ def _asks(at: int, words: np.ndarray, n_blocks: int) -> Iterator[tuple]:
         yield b, ("ask", at, words[own])
 
 
-def _answer(part: Iterator[tuple], n_blocks: int, keep: float, add: float, eta: float):
-    """The updated block, and the rows its askers want: exp(digamma) of their weights."""
+def _updated(part: Iterator[tuple], n_blocks: int, keep: float, add: float, eta: float):
+    """The updated block, and who asks for which of its rows."""
     number, weights, found, asked = None, None, [], []
     for b, (kind, first, second) in part:
         if kind == "block":
@@ -140,7 +152,17 @@ def _answer(part: Iterator[tuple], n_blocks: int, keep: float, add: float, eta:
             weights[ids // n_blocks] += add * sums
     yield number, ("block", weights, None)
     for at, ids in asked:
-        yield number, ("rows", at, (ids, np.exp(digamma(weights[ids // n_blocks]))))
+        yield number, ("ask", at, ids)
+
+
+def _answers(part: Iterator[tuple], n_blocks: int) -> Iterator[tuple]:
+    """The rows the askers want: exp(digamma) of their weights."""
+    weights = None
+    for _, (kind, first, second) in part:
+        if kind == "block":
+            weights = first
+        else:
+            yield first, (second, np.exp(digamma(weights[second // n_blocks])))
 
 
 def _gathered(part: Iterator[tuple], scale: np.ndarray) -> tuple:
@@ -165,12 +187,8 @@ def _together(a: RDD, b: RDD, n: int) -> RDD:
     return a.union(b.partitionBy(n)).partitionBy(n)
 
 
-def _rows_of(answered: RDD, n: int) -> RDD:
-    return answered.filter(lambda x: x[1][0] == "rows").map(lambda x: (x[1][1], x[1][2]))
-
-
-def _blocks_of(answered: RDD) -> RDD:
-    return answered.mapPartitions(lambda p: (x for x in p if x[1][0] == "block"), True)
+def _blocks_of(updated: RDD) -> RDD:
+    return updated.mapPartitions(lambda p: (x for x in p if x[1][0] == "block"), True)
 
 
 def fit(
@@ -185,6 +203,8 @@ def fit(
     docs = documents_of(rows, features)
     n_parts = max(1, docs.getNumPartitions())
     docs = docs.partitionBy(n_parts).persist(StorageLevel.MEMORY_AND_DISK)
+    docs.count()
+    release_shuffles(docs)
 
     def begin(b: int) -> tuple:
         size = len(range(b, n_terms, n_blocks))
@@ -199,13 +219,14 @@ def fit(
             yield from _asks(at, _words(d, _drawn(d, (seed, 1, at), rate)), n_blocks)
 
     messages, keep, add = docs.mapPartitions(first_asks), 1.0, 0.0
-    held = [blocks]
+    held, written = [blocks], None
     for update in range(1, updates + 1):
-        answered = _together(blocks, messages, n_blocks).mapPartitions(
-            lambda p, keep=keep, add=add: _answer(p, n_blocks, keep, add, eta), True
+        met = _together(blocks, messages, n_blocks)
+        updated = met.mapPartitions(
+            lambda p, keep=keep, add=add: _updated(p, n_blocks, keep, add, eta), True
         ).persist(StorageLevel.MEMORY_AND_DISK)
         if update % CHECKPOINT_EVERY == 0:
-            answered.checkpoint()
+            updated.checkpoint()
         scale = np.exp(digamma(total))
 
         def learn(part: Iterator[tuple], update=update, scale=scale, alpha=alpha) -> Iterator:
@@ -230,28 +251,37 @@ def fit(
                 yield from _asks(at, _words(d, again), n_blocks)
             yield -1, (sums.sum(0), logs, seen)
 
-        learnt = _together(docs, _rows_of(answered, n_parts), n_parts).mapPartitions(learn)
+        answers = updated.mapPartitions(lambda p: _answers(p, n_blocks))
+        learnt = _together(docs, answers, n_parts).mapPartitions(learn)
         learnt = learnt.persist(StorageLevel.MEMORY_AND_DISK)
         sums, logs, seen = learnt.filter(lambda x: x[0] < 0).values().reduce(
             lambda a, b: tuple(x + y for x, y in zip(a, b, strict=True))
         )
+        release_shuffles(met)
+        release_shuffles(learnt)
         for old in held:
             old.unpersist()
-        held = [answered, learnt]
-        blocks, messages = _blocks_of(answered), learnt.filter(lambda x: x[0] >= 0)
+        if update % CHECKPOINT_EVERY == 0:
+            drop_checkpoint(written)
+            written = updated
+        held = [updated, learnt]
+        blocks, messages = _blocks_of(updated), learnt.filter(lambda x: x[0] >= 0)
         keep, add = 1.0, 0.0
         if seen:
             weight = (TAU + update) ** -KAPPA
             keep, add = 1.0 - weight, weight * n_docs / math.ceil(rate * n_docs)
             total = keep * total + weight * eta * n_terms + add * sums
             alpha = _moved(alpha, logs / seen, seen, weight)
-    last = _together(blocks, messages, n_blocks).mapPartitions(
-        lambda p: _answer(p, n_blocks, keep, add, eta), True
+    met = _together(blocks, messages, n_blocks)
+    last = met.mapPartitions(
+        lambda p: _updated(p, n_blocks, keep, add, eta), True
     ).persist(StorageLevel.MEMORY_AND_DISK)
     last.checkpoint()
     last.count()
+    release_shuffles(met)
     for old in [*held, docs]:
         old.unpersist()
+    drop_checkpoint(written)
     return TopicWeights(last, n_blocks, n_terms, total, alpha)
 
 
@@ -264,21 +294,21 @@ def _moved(alpha: np.ndarray, logs: np.ndarray, n: int, weight: float) -> np.nda
     return moved if (moved > 0).all() else alpha
 
 
-def distributions(model: TopicWeights, rows: DataFrame, features: str, *kept: str) -> RDD:
-    """A (kept columns, topic shares) tuple per document; without words all shares are zero."""
-    docs = documents_of(rows, features, *kept)
-    n_parts, n_blocks = max(1, docs.getNumPartitions()), model.n_blocks
-    docs = docs.partitionBy(n_parts).persist(StorageLevel.DISK_ONLY)
+def distributions(
+    model: TopicWeights, rows: DataFrame, features: str, keep: Callable[[RDD], None], *kept: str
+) -> None:
+    """A (kept columns, topic shares) tuple per document; without words all shares are zero.
+
+    Some partitions at a time are handed to ``keep``, which is to write them before it returns:
+    the rows of their words are then given up.
+    """
+    n_parts, n_blocks = max(1, rows.rdd.getNumPartitions()), model.n_blocks
     scale, alpha = np.exp(digamma(model.total)), model.alpha
 
     def asks(part: Iterator[tuple]) -> Iterator[tuple]:
         for at, d in part:
             yield from _asks(at, _words(d, _drawn(d, (), 0.0)), n_blocks)
 
-    answered = _together(model.blocks, docs.mapPartitions(asks), n_blocks).mapPartitions(
-        lambda p: _answer(p, n_blocks, 1.0, 0.0, 0.0)
-    )
-
     def shares(part: Iterator[tuple]) -> Iterator[tuple]:
         _, d, ids, beta = _gathered(part, scale)
         for i, others in enumerate(d.kept if d else []):
@@ -289,7 +319,20 @@ def distributions(model: TopicWeights, rows: DataFrame, features: str, *kept: st
             gamma = infer(beta[np.searchsorted(ids, d.columns[own])], d.counts[own], alpha)[0]
             yield *others, (gamma / gamma.sum()).tolist()
 
-    return _together(docs, _rows_of(answered, n_parts), n_parts).mapPartitions(shares)
+    for first in range(0, n_parts, PARTS_AT_ONCE):
+        parts = range(first, first + PARTS_AT_ONCE)
+        docs = documents_of(rows, features, *kept, parts=parts)
+        docs = docs.map(lambda x, first=first: (x[0] - first, x[1])).partitionBy(PARTS_AT_ONCE)
+        docs = docs.persist(StorageLevel.DISK_ONLY)
+        met = _together(model.blocks, docs.mapPartitions(asks), n_blocks)
+        answers = met.mapPartitions(lambda p: _updated(p, n_blocks, 1.0, 0.0, 0.0), True)
+        answers = answers.mapPartitions(lambda p: _answers(p, n_blocks))
+        found = _together(docs, answers, PARTS_AT_ONCE).mapPartitions(shares)
+        keep(found)
+        release_shuffles(found)
+        release_shuffles(met)
+        release_shuffles(docs)
+        docs.unpersist()
 
 
 def top_terms(model: TopicWeights, n: int) -> list[list[tuple[int, float]]]:

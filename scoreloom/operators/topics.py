@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+from pyspark import RDD
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
@@ -12,7 +13,7 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 from scoreloom.functions.text import counted
 from scoreloom.operators import lda
 from scoreloom.operators.terms import TermModel, fit_terms
-from scoreloom.plans.durable import cut
+from scoreloom.plans.durable import cut, fresh_path
 from scoreloom.plans.ordering import MAX_GROUP_ROWS, place_in_group
 from scoreloom.plans.spreading import spread
 from scoreloom.plans.unfolding import unfold
@@ -83,11 +84,15 @@ def document_topics(model: TopicModel, docs: DataFrame) -> DataFrame:
     counted_docs = model.terms.transform(docs.withColumnRenamed("tokens", "terms"))
     fields = [docs.schema["doc_id"], docs.schema["label"]]
     fields.append(StructField("_shares", ArrayType(DoubleType())))
-    scored = docs.sparkSession.createDataFrame(
-        lda.distributions(model.weights, counted_docs, "features", "doc_id", "label"),
-        StructType(fields),
-        verifySchema=False,
-    )
+    spark, path = docs.sparkSession, fresh_path(docs.sparkSession, "shares")
+    schema = StructType(fields)
+
+    def keep(found: RDD) -> None:
+        some = spark.createDataFrame(found, schema, verifySchema=False)
+        some.write.mode("append").parquet(path)
+
+    lda.distributions(model.weights, counted_docs, "features", keep, "doc_id", "label")
+    scored = spark.read.schema(schema).parquet(path)
     long = scored.select("doc_id", "label", F.posexplode_outer("_shares").alias("topic", "p"))
     return long.select(
         "doc_id",

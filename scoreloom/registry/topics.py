@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scoreloom.operators import topics as ops
-from scoreloom.plans.durable import cut
+from scoreloom.plans.durable import written
 from scoreloom.registry.base import once_per_data, register, with_ctes
 from scoreloom.registry.inputs import CORPUS_SQL
 from scoreloom.registry.text import TOKENS_SQL, corpus_docs
@@ -39,7 +39,7 @@ def doc_to_bow(spark, sf_dir):
 @once_per_data
 def _fitted(spark, sf_dir):
     """The stemmed corpus and its topic model."""
-    docs = cut(corpus_docs(spark, sf_dir, stem=True))
+    docs = written(corpus_docs(spark, sf_dir, stem=True), "stemmed")
     return docs, ops.fit_topics(docs)
 
 

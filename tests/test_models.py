@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from scoreloom.operators import classify, scoring, topics
+from scoreloom.operators import classify, lda, scoring, topics
 from scoreloom.operators.terms import fit_terms
+from scoreloom.plans.durable import shared_folder
 
 WORDS = {"pos": "good great fine nice".split(), "neg": "bad poor awful sad".split(),
          "neu": "table chair window door".split()}
@@ -130,3 +132,32 @@ def test_topic_weights_stay_in_blocks(docs):
     total = sum(b.sum(0) for b in blocks.values())
     assert abs(total / model.weights.total - 1).max() < 1e-9
     assert all(b.min() > 0 for b in blocks.values())
+
+
+def _left(spark) -> tuple[int, int]:
+    """Shuffle files on this machine, and checkpoints."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    shuffles = sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    return shuffles, len([p for p in Path(folder).iterdir() if p.name.startswith("rdd-")])
+
+
+def test_updates_leave_no_files_behind(spark, docs, monkeypatch):
+    monkeypatch.setattr(lda, "CHECKPOINT_EVERY", 3)
+    shared_folder(spark)
+    rows = fit_terms(docs.select(F.col("tokens").alias("terms")))
+    counts = rows.transform(docs.select(F.col("tokens").alias("terms"))).select("features").repartition(4)
+    before = _left(spark)
+    lda.fit(counts, "features", rows.size, 90, 3, 12, 0.5, 7)
+    after = _left(spark)
+    assert after[0] - before[0] < 30 and after[1] - before[1] == 1
+
+
+def test_topics_of_documents_are_found_in_parts(spark, docs, monkeypatch):
+    model = topics.fit_topics(docs, k=3, passes=5)
+    dealt = docs.select("doc_id", "label", "tokens").repartition(5)
+    want = {(r["doc_id"], r["topic"]): r["probability"] for r in topics.document_topics(model, dealt).collect()}
+    monkeypatch.setattr(lda, "PARTS_AT_ONCE", 2)
+    got = topics.document_topics(model, dealt).collect()
+    assert len(got) == len(want) == 270
+    assert all(abs(want[r["doc_id"], r["topic"]] - r["probability"]) < 1e-12 for r in got)
